@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.llm import language, quality, toxicity
+from sievework.llm import chat, fingerprints, language, mixing, quality, sharding, topk, toxicity
 from sievework.llm.common import documents, id_text_crc
 
 QUERIES: dict = {}
@@ -33,3 +33,28 @@ def op5_language(spark, sf_dir):
 
 
 QUERIES |= {"op1_toxicity": op1_toxicity, "op4_quality": op4_quality, "op5_language": op5_language}
+
+
+def op2_mixing(spark, sf_dir):
+    return mixing.mix_report(documents(spark, sf_dir))
+
+
+def op6_topk(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.search(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
+def op7_fingerprints(spark, sf_dir):
+    return fingerprints.neighbour_report(documents(spark, sf_dir))
+
+
+def op9_chat(spark, sf_dir):
+    return chat.rotations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op10_sharding(spark, sf_dir):
+    return sharding.report(documents(spark, sf_dir))
+
+
+QUERIES |= {"op2_mixing": op2_mixing, "op6_topk": op6_topk, "op7_fingerprints": op7_fingerprints, "op9_chat": op9_chat, "op10_sharding": op10_sharding}
+ORACLE_SQL |= {"op2_mixing": mixing.ORACLE, "op6_topk": topk.ORACLE, "op9_chat": chat.ORACLE}
