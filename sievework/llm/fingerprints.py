@@ -15,7 +15,6 @@ import hashlib
 import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -179,5 +178,3 @@ def neighbour_report(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     return with_next(docs).mapInArrow(run, schema)
 
-
-__all__ = ["canonical", "canonical_classes", "collisions", "digests", "edited", "fingerprint", "likeness", "neighbour_report", "np", "with_next"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, fingerprints, language, mixing, quality, sharding, topk, toxicity
+from sievework.llm import chat, fingerprints, jaccard, language, mixing, packing, quality, sharding, topk, toxicity
 from sievework.llm.common import documents, id_text_crc
 
 QUERIES: dict = {}
@@ -58,3 +58,14 @@ def op10_sharding(spark, sf_dir):
 
 QUERIES |= {"op2_mixing": op2_mixing, "op6_topk": op6_topk, "op7_fingerprints": op7_fingerprints, "op9_chat": op9_chat, "op10_sharding": op10_sharding}
 ORACLE_SQL |= {"op2_mixing": mixing.ORACLE, "op6_topk": topk.ORACLE, "op9_chat": chat.ORACLE}
+
+
+def op3_jaccard(spark, sf_dir):
+    return jaccard.join(documents(spark, sf_dir), 3, 90, 100)
+
+
+def op8_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
+
+
+QUERIES |= {"op3_jaccard": op3_jaccard, "op8_packing": op8_packing}
