@@ -19,6 +19,7 @@ documents of their own. An empty table stays empty.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -43,57 +44,67 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters for bytes of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds(dict):
     """Little-endian 16-bit ids of words (runs without white space), as bytes."""
 
     def __init__(self, path: str):
         super().__init__()
         self.path, self.tokenizer = path, None
+        self.letters = _byte_letters()
 
     def __reduce__(self):
         return WordIds, (self.path,)
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        if self.tokenizer is None:
-            from tokenizers import Tokenizer
-
-            self.tokenizer = Tokenizer.from_file(self.path)
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u2").tobytes() for e in got]
-
-    def learn(self, words: set[str]) -> None:
-        """Encodes new words together: letters by themselves, marks after them by themselves, all else whole."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        parts: dict[str, tuple[str, str]] = {}
-        todo: set[str] = set()
-        for w in words:
-            if w in self:
-                continue
-            core = w.rstrip(_MARKS)
-            # A capital sigma lowers by its context in Python, and some letters lower to a letter and a mark.
-            if core.isalpha() and "Σ" not in core and (low := core.lower()).isalpha():
-                parts[w] = pair = (low, w[len(core) :])
-                todo.update(p for p in pair if p and p not in self)
+    def _load(self) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(self.path)
+        self.model = self.tokenizer.model
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
+
+    def _merge(self, letters: str) -> bytes:
+        """The ids of lower-case letters in composed form, which are one unit to the vocabulary's merges."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(2, "little") for t in self.model.tokenize(letters)])
+
+    def __missing__(self, word: str) -> bytes:
+        """Letters by themselves and marks after them by themselves; any other word whole."""
+        core = word.rstrip(_MARKS)
+        low = core.lower()
+        # A capital sigma lowers by its context in Python, and some letters lower to a letter and a mark.
+        if core.isalpha() and (low.isascii() or "Σ" not in core and low.isalpha() and unicodedata.is_normalized("NFC", core)):
+            if low == word:
+                ids = self._merge(low)
             else:
-                todo.add(w)
-        if todo:
-            todo = sorted(todo)
-            self.update(zip(todo, self._encode(todo), strict=True))
-        for w, (core, tail) in parts.items():
-            self[w] = self[core] + (self[tail] if tail else b"")
+                ids = self[low]
+                if len(core) < len(word):
+                    ids += self[word[len(core) :]]
+        else:
+            ids = self._whole(word)
+        self[word] = ids
+        return ids
 
     def documents(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text and the end id."""
-        lists = [[] if _ODD_SPACE.intersection(t) else t.split() for t in texts]
-        end = np.array([END_ID], "<u2").tobytes()
+        """The ids of each text and the end id. Python splits at four separators that the vocabulary keeps; such texts go whole."""
+        if self.tokenizer is None:
+            self._load()
+        end = END_ID.to_bytes(2, "little")
         out = []
-        for i in range(0, len(texts), 64):
-            self.learn(set().union(*lists[i : i + 64]))
-            out += [b"".join([*map(self.__getitem__, words), end]) for words in lists[i : i + 64]]
-        for i, t in enumerate(texts):
-            if t and not lists[i] and t.strip():
-                out[i] = self._encode([t])[0] + end
+        for t in texts:
+            if len(self) > 2 * CACHE_WORDS:
+                self.clear()
+            ids = self._whole(t) if any(c in t for c in _ODD_SPACE) else b"".join(map(self.__getitem__, t.split()))
+            out.append(ids + end)
         return out
 
 
