@@ -165,34 +165,39 @@ def train(rows: list, min_g: float = MIN_G, steps: int = 80, seed: int = 11) ->
     empty = Crf({}, -6.0, np.array([[1.0, 0.05], [0.5, 0.5]]), 0.05, None)
     if not n1 or not n0:
         return empty
-    known: dict[str, tuple[str, ...]] = {}
-    counts = (Counter(), Counter())
+    # Tokens are numbered: a document is an array of numbers, a token's features are listed once.
+    numbers: dict[str, int] = {}
+    feature_numbers: dict[str, int] = {}
+    features: list[tuple[int, ...]] = []
     tokens_of, copies = [], (set(), set())
+    counts = (Counter(), Counter())
     independent = [0, 0]
     for r in rows:
         tokens = r["text"].split()
-        tokens_of.append(tokens)
-        seen = set()
-        for t in set(tokens):
-            if t not in known:
-                known[t] = token_features(t)
-            seen.update(known[t])
+        for t in tokens:
+            if t not in numbers:
+                numbers[t] = len(features)
+                features.append(tuple(feature_numbers.setdefault(f, len(feature_numbers)) for f in token_features(t)))
+        tokens_of.append(np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens)))
         if novel(tokens, copies[r["y"] == 1]):
-            counts[r["y"] == 1].update(seen)
+            counts[r["y"] == 1].update({f for t in set(tokens_of[-1].tolist()) for f in features[t]})
             independent[r["y"] == 1] += 1
     n0, n1 = independent
-    telling = {f for f, k in counts[1].items() if k > 1 and counts[0][f] * n1 <= MAX_CLEAN_RATIO * k * n0 and _g(k, n1, counts[0][f], n0) >= min_g}
-    index = {f: i + 1 for i, f in enumerate(sorted(telling))}
-    marked = {t: tuple(index[f] for f in fs if f in index) for t, fs in known.items()}
+    telling = sorted(f for f, k in counts[1].items() if k > 1 and counts[0][f] * n1 <= MAX_CLEAN_RATIO * k * n0 and _g(k, n1, counts[0][f], n0) >= min_g)
+    index = {f: i + 1 for i, f in enumerate(telling)}
+    marked = [tuple(index[f] for f in fs if f in index) for fs in features]
+    is_marked = np.array([bool(m) for m in marked])
+    names = {f: name for name, f in feature_numbers.items() if f in index}
+    del numbers, feature_numbers, features, counts, copies
 
     rng = np.random.default_rng(seed)
     span = 2 * WINDOW + 1
     feats, labels, real = [], [], []
     for r, tokens in zip(rows, tokens_of, strict=True):
-        hits = [i for i, t in enumerate(tokens) if marked[t]] if r["y"] == 1 else []
-        picks = hits[:4] or ([int(rng.integers(len(tokens)))] if tokens else [])
+        hits = np.flatnonzero(is_marked[tokens])[:4].tolist() if r["y"] == 1 and len(tokens) else []
+        picks = hits or ([int(rng.integers(len(tokens)))] if len(tokens) else [])
         for at in picks:
-            part = tokens[max(0, at - WINDOW) : at + WINDOW + 1]
+            part = tokens[max(0, at - WINDOW) : at + WINDOW + 1].tolist()
             f = np.zeros((span, 3), np.int32)
             for i, t in enumerate(part):
                 f[i, : len(marked[t])] = marked[t]
@@ -233,7 +238,7 @@ def train(rows: list, min_g: float = MIN_G, steps: int = 80, seed: int = 11) ->
         grad = grad / len(y) - 1e-4 * params
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         params += rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    weights = {name: float(params[i]) for name, i in index.items()}
+    weights = {names[f]: float(params[i]) for f, i in index.items()}
     crf = Crf(weights, float(params[-4]), np.exp(np.array([[0.0, params[-3]], [params[-2], params[-1]]])), 1.0, (0.0, 1.0, 0.0))
 
     cache = _Emissions(crf)
