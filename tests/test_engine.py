@@ -187,3 +187,22 @@ def test_near_duplicates_and_comparison(spark):
     new = spark.createDataFrame([("b", "y"), ("c", "z")], "rid string, item string")
     done = findings.completion(findings.compare_runs(old, new)).first()
     assert (done.resolved, done.open, done.added, done.rate) == (1, 1, 1, 0.5)
+
+
+def test_report_and_stream(spark, tmp_path):
+    from sievework.sources import report
+    from sievework.streaming.rules import stream_findings
+
+    (tmp_path / "in").mkdir()
+    parsed = load(spark, tmp_path / "in", [{"id": "a|<b>", "content": "short", "meta": META}, {"id": "c", "content": "x", "meta": {}}])
+    checked = blog.check(parsed, "2026-09-01").cache()
+    found = findings.exploded(checked).cache()
+    parts = report.tables(found, blog.gate_rows(blog.stats(checked), blog.histograms(checked)), blog.histograms(checked))
+    text_report = report.markdown("R", parts)
+    assert "a\\|<b>" in text_report and "a|&lt;b&gt;" in report.page("R", parts)
+    (tmp_path / "prev.md").write_text(text_report)
+    prev = report.previous_findings(spark.read.text(str(tmp_path / "prev.md")))
+    assert prev.filter("rid = 'c'").count() == found.filter("rid = 'c'").select("item").distinct().count()
+    q = stream_findings(spark, str(tmp_path / "in"), lambda b: blog.check(b, "2026-09-01"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination(60)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == found.count()
