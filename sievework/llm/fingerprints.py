@@ -3,7 +3,8 @@
 The canonical form of a text is its NFKC normalisation, case-folded, normalised again, with every run of white space
 folded to one space and none at the ends. The fingerprint is the 128-bit xxhash of its UTF-8 bytes in hexadecimal.
 Documents group by fingerprint, and inside equal buckets the canonical bytes themselves decide: two different texts
-with one digest fall into different classes.
+with one digest fall into different classes, and all but the first class carry their number behind the digest. Two rows
+therefore have equal fingerprints exactly when their canonical bytes are equal.
 
 Defined results: NULL counts as the empty text. Lone surrogates encode as `?`. Repeated rows are rows of their own and
 follow each other. A NULL doc_id sorts before all others. Other columns are not read.
@@ -25,6 +26,8 @@ from sievework.llm.common import mapped, sized, small_batches, texts_of, written
 #: Documents that one bucket of the neighbour search should hold, and the most buckets for each shuffle partition.
 BUCKET_ROWS = 2_000
 BUCKETS_PER_TASK = 8
+#: Hexadecimal digits of a digest. Shorter ones are for tests that need collisions.
+WIDE = 32
 
 
 def canonical(text: str) -> bytes:
@@ -35,8 +38,12 @@ def canonical(text: str) -> bytes:
     return " ".join(folded.split()).encode("utf-8", "replace")
 
 
+def digest(form: bytes, width: int = WIDE) -> str:
+    return xxhash.xxh3_128_hexdigest(form)[:width]
+
+
 def fingerprint(text: str) -> str:
-    return xxhash.xxh3_128_hexdigest(canonical(text))
+    return digest(canonical(text))
 
 
 def edited(text: str, following: str) -> str:
@@ -50,16 +57,16 @@ def likeness(one: bytes, other: bytes) -> float:
     return float(xxhash.xxh3_128_digest(one) == xxhash.xxh3_128_digest(other) and one == other)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, width: int = WIDE) -> DataFrame:
     """(doc_id, fingerprint) of every row."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch([batch.column(0), pa.array([fingerprint(t) for t in texts_of(batch)], pa.string())], ["doc_id", "fingerprint"])
+        return pa.record_batch([batch.column(0), pa.array([digest(canonical(t), width) for t in texts_of(batch)], pa.string())], ["doc_id", "fingerprint"])
 
     return mapped(docs.select("doc_id", "text"), one, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint string")
 
 
-def canonical_classes(docs: DataFrame) -> DataFrame:
+def canonical_classes(docs: DataFrame, width: int = WIDE) -> DataFrame:
     """(fingerprint, canonical bytes, class) of every distinct canonical text among rows whose digest is shared.
 
     Only digests that occur more than once are compared; a task passes on each distinct canonical text once, so that a
@@ -68,7 +75,7 @@ def canonical_classes(docs: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    shared = written(digests(docs).groupBy("fingerprint").agg(F.count("*").alias("rows")).filter("rows > 1").select("fingerprint"))
+    shared = written(digests(docs, width).groupBy("fingerprint").agg(F.count("*").alias("rows")).filter("rows > 1").select("fingerprint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
@@ -76,8 +83,8 @@ def canonical_classes(docs: DataFrame) -> DataFrame:
             names, forms = [], []
             for t in texts_of(batch):
                 form = canonical(t)
-                name = xxhash.xxh3_128_hexdigest(form)
-                wide = name + xxhash.xxh64_hexdigest(form, 7)
+                name = digest(form, width)
+                wide = xxhash.xxh3_128_hexdigest(form) + xxhash.xxh64_hexdigest(form, 7)
                 if wide not in seen:
                     if len(seen) > 200_000:
                         seen.clear()
@@ -93,9 +100,9 @@ def canonical_classes(docs: DataFrame) -> DataFrame:
     return compared.withColumn("class", F.row_number().over(order) - 1)
 
 
-def collisions(docs: DataFrame) -> DataFrame:
-    """Canonical texts beyond the first of their digest; no row means that fingerprints equal exact classes."""
-    return canonical_classes(docs).filter("class > 0")
+def collisions(docs: DataFrame, width: int = WIDE) -> DataFrame:
+    """Canonical texts beyond the first of their digest; no row means that digests equal exact classes."""
+    return canonical_classes(docs, width).filter("class > 0")
 
 
 def _cuts(docs: DataFrame, buckets: int) -> list:
@@ -144,9 +151,24 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
 
 
-def neighbour_report(docs: DataFrame) -> DataFrame:
-    """For every row: n_chars, the edited text's SHA-256, fingerprints of both, and likenesses to it and to the next text."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+def neighbour_report(docs: DataFrame, width: int = WIDE) -> DataFrame:
+    """For every row: n_chars, the edited text's SHA-256, fingerprints of both, and likenesses to it and to the next text.
+
+    class is the row's class inside its digest: 0, but for texts that collide with another one. The edited text is no row
+    of the table; its fingerprint carries a class only where it has the row's own canonical bytes.
+    """
+    beyond = written(collisions(docs, width).select(F.col("fingerprint").alias("digest"), F.sha2("form", 256).alias("seal"), "class"))
+    found = _neighbour_rows(docs, width).join(sized(beyond), ["digest", "seal"], "left")
+    own = F.when(F.col("class").isNull(), F.col("digest")).otherwise(F.concat_ws("-", "digest", "class"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", own.alias("fingerprint"), F.when(F.col("near_edited") == 1, own).otherwise(F.col("edited_digest")).alias("edited_fingerprint"),
+        "near_edited", "near_next", F.coalesce("class", F.lit(0)).alias("class"),
+    )
+
+
+def _neighbour_rows(docs: DataFrame, width: int) -> DataFrame:
+    """The report before classes: digests of both texts, and seal, the SHA-256 of the row's canonical bytes."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, digest string, edited_digest string, seal string, near_edited double, near_next double"
     id_type = pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,13 +179,14 @@ def neighbour_report(docs: DataFrame) -> DataFrame:
             _, doc_id, own, own_form = held
             change = edited(own, text)
             change_form = canonical(change)
-            out.append((doc_id, len(own), hashlib.sha256(change.encode("utf-8", "replace")).hexdigest(), xxhash.xxh3_128_hexdigest(own_form), xxhash.xxh3_128_hexdigest(change_form), likeness(own_form, change_form), likeness(own_form, form)))
+            sealed = (hashlib.sha256(change.encode("utf-8", "replace")).hexdigest(), digest(own_form, width), digest(change_form, width), hashlib.sha256(own_form).hexdigest())
+            out.append((doc_id, len(own), *sealed, likeness(own_form, change_form), likeness(own_form, form)))
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
-            arrays = [pa.array(columns[0], id_type), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.string()) for c in columns[2:5]), *(pa.array(c, pa.float64()) for c in columns[5:])]
+            arrays = [pa.array(columns[0], id_type), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.string()) for c in columns[2:6]), *(pa.array(c, pa.float64()) for c in columns[6:])]
             out.clear()
-            return pa.record_batch(arrays, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+            return pa.record_batch(arrays, ["doc_id", "n_chars", "edited_sha256", "digest", "edited_digest", "seal", "near_edited", "near_next"])
 
         for batch in batches:
             buckets, ghosts, ids = (batch.column(i).to_pylist() for i in range(3))

@@ -120,11 +120,18 @@ def test_fingerprint_neighbours(spark, monkeypatch):
     assert sorted(r.near_next for r in fingerprints.neighbour_report(odd).collect()) == [0, 0, 1]
 
 
-def test_fingerprint_collisions_are_separated(spark, monkeypatch):
+def test_fingerprint_collisions_are_separated(spark):
     df = spark.createDataFrame([doc(1, "A b"), doc(2, "a  B"), doc(3, "c"), doc(4, None)], DOC)
     assert fingerprints.collisions(df).collect() == []
     assert [bytes(r.form) for r in fingerprints.canonical_classes(df).collect()] == [b"a b"]
     assert fingerprints.likeness(b"a", b"a") == 1 and fingerprints.likeness(b"a", b"b") == 0
+    texts = [f"text {i % 400} {'X' if i % 2 else 'x'}" for i in range(1200)] + ["same words"] * 500
+    crowded = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOC)
+    out = {r.doc_id: r for r in fingerprints.neighbour_report(crowded, 2).collect()}
+    assert len(out) == len(texts) and sum(r["class"] > 0 for r in out.values()) > 300
+    names = {(fingerprints.canonical(t), out[i].fingerprint) for i, t in enumerate(texts)}
+    assert len(names) == len({form for form, _ in names}) == len({name for _, name in names})
+    assert all(r.edited_fingerprint == r.fingerprint for r in out.values() if r.near_edited)
 
 
 def test_topk_matches_brute_force(spark, monkeypatch):
