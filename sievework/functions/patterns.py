@@ -100,7 +100,7 @@ PAYMENT_EN = (
     r"pay(?:pal)?|stripe|checkout|card(?:s|number)?)\b"
 )
 PAYMENT_CN = ("银行卡", "信用卡", "借记卡", "卡号", "支付", "付款", "银行", "充值", "刷卡")
-#: Well-known test card numbers of payment guides.
+#: Well-known test card numbers of payment guides; rules take a longer list as a parameter.
 TEST_CARDS = (
     "4111111111111111", "4012888888881881", "4222222222222", "5555555555554444", "5105105105105100", "378282246310005",
     "371449635398431", "378734493671000", "30569309025904", "38520000023237", "6011111111111117", "6011000990139424",
@@ -186,3 +186,55 @@ BRACKET_LANGS = (
     "kt", "kotlin", "scala",
 )
 CODE_FENCE = r"^```([A-Za-z0-9+#.\-]*)[ \t]*$"
+
+# Deep rules of dialogues. Placeholder phrases, patterns and language names.
+TEMPLATE_PHRASES = (("write_idea_cn", "此处撰写解题思路"), ("problem_code", "Problem: Code"))
+TITLE_ONLY_ANSWER = r"(?U)\A\s*(题解[:：]\s*)?\S{0,16}\s*\n\s*(此处撰写解题思路|Problem: Code|Code|题解|完成|测试|aa|。|1)\s*\z"
+AI_AUTHOR = r"(?iU)\bAI answer\b|AI\s*生成|GPT[- ]?generated"
+AUTHOR_KEYS = ("answer_author", "author", "solution_author", "solution", "by")
+FLAT_POWER = r"(<=|≥|<)\s*10[1-9](?![0-9.,])|\b10[1-9]\s*(<=|≥|<)|(-\s*)?231\s*-\s*1"
+FENCE_BLOCK = r"(?s)```([^\n`]*)\n(.*?)```"
+FENCE_LINE = r"(?md)^\s*```"
+BLOCK_COMMENT = r"(?s)/\*.*?\*/"
+COMMENT_LINE = r"(?U)^\s*(//|#\[doc)"
+CODE_WORDS = (
+    r"(?iU)\bSELECT\b|\bINSERT\b|\bCREATE\s+TABLE\b|\bdef\b|\bclass\b|\bfunction\b|\bpublic\s+static\b|\bint\s+main\b|\bvar\b|"
+    r"console\.log|print\s*\(|input\s*\(|#include|\bimport\b|\bfn\b|\bpackage\s+main\b|\becho\b|\bif __name__|->|=>"
+)
+STRONG_CODE = (
+    r"(?mdU)\A[ \t]*#include|int main\(|using namespace std|#ifndef\s|#define\s|public class\s+[A-Za-z_]|import java\.|"
+    r"public static void|^\s*(def |class )\w+.*:|^\s*import \w+.*$|^\s*fn \w+|^\s*let mut |^\s*<\?php"
+)
+# The first language whose mark occurs is the language of code outside fences.
+BARE_CODE = (
+    ("go", r"(?mdU)^\s*package\s+main\b"),
+    ("c#", r"(?mdU)^\s*using\s+(System|Microsoft|static)\b|\bConsole\.(ReadLine|WriteLine|Read|ReadKey|Out)\b"),
+    ("rust", r"(?mdU)^\s*fn\s+main\s*\(|fn main|^\s*use\s+std::"),
+    ("php", r"(?mdU)^\s*<\?php"),
+    ("c++", r"(?U)using namespace std|#include\s*<bits/stdc\+\+\.h>|\bstd::\w+|\bcout\s*<<"),
+    ("c", r"(?mdU)^\s*#\s*include\s*[<\"]"),
+    ("javascript", r"(?U)console\.log|require\(|function\s+main\b|process\.stdin|createInterface"),
+    ("java", r"(?mdU)^\s*import\s+(?:static\s+)?java\.|\bSystem\.out\.|^\s*public\s+(?:final\s+|abstract\s+)?class\s+\w+|void main\(String|String\[\] args"),
+    ("python", r"(?mdU)^\s*def\s+\w+.*:|if __name__|^\s*(self\.|print\s*\(|input\s*\()|\"\"\"|'''"),
+)
+CODE_MARKS = (
+    r"(?mdU)^\s*[A-Za-z_]\w*(?:\.[A-Za-z_]\w+)*\s*;\s*$|->|=>|^\s*my\s+[@$]\w|\buse\s+(strict|warnings)\b|\bqw\[|<>\b|"
+    r"^\s*[@$][A-Za-z_]\w*\s*=|\bchomp\b|<-|>>=|::\s*[A-Z\[]|^\s*(fun|let|val)\s+\w+|^\s*(open|module)\s+[A-Z]\w+|\bgets\b|\bputs\b|"
+    r"\.times\b|\.chomp\b|\bdo\s*(\||\{)|^\s*(awk|sed|read|printf)\b|^\s*def\s+\w+\s*:|^\s*for\s+\w+\s+in\s+\w+"
+)
+BARE_LANGS = ("go", "java", "rust", "c#", "php", "c++", "c", "python", "javascript", "typescript")
+# One name for each language, for fence tags and declared languages alike; names outside stand for themselves.
+LANG_NAMES = {
+    "cpp": "c++", "cxx": "c++", "js": "javascript", "ts": "typescript", "vb": "vb.net", "vbnet": "vb.net", "py": "python",
+    "python3": "python", "golang": "go", "csharp": "c#", "cs": "c#", "ps1": "powershell", "mysql": "sql", "psql": "sql",
+    "bash": "shell", "sh": "shell", "shellsession": "shell", "console": "", "text": "", "txt": "",
+    "markdown": "", "plaintext": "",
+}
+#: Tags of fences that mean another language than the same word as a label.
+TAG_NAMES = {"psql": "postgresql"}
+#: Tags that say nothing about the language.
+SILENT_TAGS = ("ignore",)
+#: Names that count as the same when a label is held against code.
+LANG_FAMILIES = {"c": "c/c++", "c++": "c/c++", "javascript": "js/ts", "typescript": "js/ts"}
+NO_PROGRAM_LANGS = ("json", "html", "css")
+UNKNOWN_LANGS = ("", "unknown", "text", "none")

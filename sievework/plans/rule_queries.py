@@ -9,7 +9,7 @@ from sievework.functions import pii
 from sievework.functions.text import escape_html, estimated_tokens, right_strip, strip
 from sievework.operators import findings as O
 from sievework.operators import sampling
-from sievework.plans import blog, qa
+from sievework.plans import blog, commit, deep, qa
 from sievework.sources.records import parsed
 from sievework.sources.tables import table
 
@@ -65,6 +65,42 @@ def qa_gates(spark, sf_dir):
     return qa.gate_rows(qa.stats(checked), qa.histograms(checked)).select("gate", "level", "numer", "denom")
 
 
+def qa_deep_findings(spark, sf_dir):
+    """The deep rules of a data set whose answers must hold code."""
+    return O.exploded(deep.check(qa_records(spark, sf_dir), "code"), keys=("rid",)).select("rid", "level", "item")
+
+
+def commit_records(spark, sf_dir):
+    """documents as fix commits: a change of the first of the text's lines; in French ones the fixed code has a line more than the diff."""
+    rows = F.transform(F.split("text", r"\. ", -1), lambda x: right_strip(F.regexp_replace(x, r"[\r\n]", " ")))
+    d = table(spark, sf_dir, "documents").filter("text is not null").withColumn("old", F.concat(F.array(F.lit("first")), rows, F.array(F.lit("last"))))
+    rest = F.slice("old", F.lit(2), F.size("old") - 1)
+    new = F.concat(F.array(F.lit("changed()")), rest, F.when(F.col("lang") == "fr", F.array(F.lit("extra"))).otherwise(F.array().cast("array<string>")))
+    head = ("diff --git a/src/m.c b/src/m.c", "--- a/src/m.c", "+++ b/src/m.c")
+    span = F.concat(F.lit("@@ -1,"), F.size("old"), F.lit(" +1,"), F.size("old"), F.lit(" @@"))
+    diff = F.array_join(F.concat(F.array(*map(F.lit, head), span, F.lit("-first"), F.lit("+changed()")), F.transform(rest, lambda x: F.concat(F.lit(" "), x))), "\n")
+    meta = F.struct(
+        F.array_join("old", "\n").alias("vulnerable_code"), F.array_join(new, "\n").alias("fixed_code"), diff.alias("unified_diff"), F.lit("Fix it").alias("commit_message"), F.lit("src/m.c").alias("primary_file"), F.lit("CVE-2025-1234").alias("cve_id"),
+        F.lit(True).alias("complete_code_fetched"), F.lit("HIGH").alias("severity"), F.lit(7.4).alias("cvss_score"), F.col("lang").alias("programming_language"), F.col("source").alias("project_owner"),
+    )
+    line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("x").alias("text"), meta.alias("meta")))
+    return parsed(d.select(F.lit("documents").alias("file"), F.col("doc_id").alias("pos"), line.alias("line")))
+
+
+def commit_proofs(spark, sf_dir):
+    """Whether each commit's diff turns its old code into its new one."""
+    return commit.derived(commit_records(spark, sf_dir)).select("rid", "proof.ok", "proof.reason")
+
+
+def commit_findings(spark, sf_dir):
+    return O.exploded(commit.check(commit_records(spark, sf_dir)), keys=("rid",)).select("rid", "level", "item")
+
+
+def commit_gates(spark, sf_dir):
+    checked = commit.check(commit_records(spark, sf_dir))
+    return commit.gate_rows(commit.stats(checked, int(AS_OF[:4])), commit.histograms(checked)).select("gate", "level", "numer", "denom")
+
+
 def first_seen_bodies(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(strip(F.col("text"))).alias("digest"))
     return O.first_seen(docs, F.col("digest"), F.col("doc_id"), "doc_id").filter("seen_before is not null").select("doc_id", F.col("seen_before").alias("first_id"))
@@ -132,7 +168,8 @@ def bernoulli_sample(spark, sf_dir):
 
 
 QUERIES = {
-    "blog_findings": blog_findings, "blog_privacy": blog_privacy, "blog_gates": blog_gates, "qa_findings": qa_findings, "qa_duplicates": qa_duplicates, "qa_gates": qa_gates, "first_seen_bodies": first_seen_bodies,
+    "blog_findings": blog_findings, "blog_privacy": blog_privacy, "blog_gates": blog_gates, "qa_findings": qa_findings, "qa_duplicates": qa_duplicates, "qa_gates": qa_gates, "qa_deep_findings": qa_deep_findings,
+    "commit_proofs": commit_proofs, "commit_findings": commit_findings, "commit_gates": commit_gates, "first_seen_bodies": first_seen_bodies,
     "corpus_histogram": corpus_histogram, "top_values": top_values, "token_estimate": token_estimate, "tail_rules": tail_rules, "article_emails": article_emails, "luhn_numbers": luhn_numbers, "escaped_pages": escaped_pages,
     "url_duplicates": url_duplicates, "label_gate": label_gate, "time_share": time_share, "run_comparison": run_comparison, "fixed_sample": fixed_sample, "bernoulli_sample": bernoulli_sample,
 }
@@ -144,6 +181,7 @@ _TURNS = """c AS (SELECT *, CASE WHEN lead(role) OVER w = 'assistant' THEN lead(
 q AS (SELECT conv_id, list({'q': text, 'a': coalesce(answer, '')} ORDER BY turn, text) AS m FROM c WHERE role = 'user' GROUP BY conv_id)"""
 
 ORACLE_SQL = {
+    "commit_proofs": "SELECT doc_id::VARCHAR AS rid, lang <> 'fr' AS ok, CASE WHEN lang = 'fr' THEN 'result differs' ELSE 'consistent' END AS reason FROM documents WHERE text IS NOT NULL",
     "first_seen_bodies": f"WITH d AS (SELECT doc_id, md5({_STRIP}) AS h FROM documents), f AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS first_id FROM d WHERE h IS NOT NULL) SELECT doc_id, first_id FROM f WHERE doc_id <> first_id",
     "corpus_histogram": _HIST,
     "top_values": f"WITH h AS ({_HIST}), r AS (SELECT *, sum(cnt) OVER (PARTITION BY dim)::BIGINT AS total, row_number() OVER (PARTITION BY dim ORDER BY cnt DESC, key) AS n FROM h) SELECT dim, key, cnt, total FROM r WHERE n = 1",

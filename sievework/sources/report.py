@@ -11,11 +11,41 @@ from sievework.operators.findings import item_summary
 #: Rows that a report's tables show at most; the Parquet table has them all.
 DETAIL_ROWS = 400
 ADVICE_DEFAULT = "Review the listed records against the delivery standard."
+#: What to do about an item of the dialogue rules.
+ADVICE_QA = {
+    "structure": "Bring the record to the six top-level fields.",
+    "message_missing": "Supply the list of turns.",
+    "turn_malformed": "Give every turn a question and an answer.",
+    "question_empty": "Restore the question's text.",
+    "answer_empty": "Supply the answer.",
+    "status_missing": "Add the three cleaning flags.",
+    "cleaning_unfinished": "Run the cleaning step, then set its flag.",
+    "metadata_missing": "Add language, token count and type.",
+    "type_value": "Set type to its fixed value.",
+    "domain_not_array": "Make domain a list of tags.",
+    "time_missing": "Fill in question and answer times from the source.",
+    "tokens_missing": "Count tokens anew and name the tokenizer.",
+    "tokenizer_unknown": "Name the tokenizer that made the counts.",
+    "token_count": "Count tokens anew.",
+    "id_prefix": "Use ids with the fixed prefix.",
+    "hidden_span": "Remove hidden watermark text.",
+    "privacy": "Look at each hit: mask personal data of others, excuse examples and code values.",
+    "private_ip": "Look at each hit: mask addresses of real networks, excuse examples.",
+    "social_account": "Mask the account.",
+    "media": "Remove images and binaries; keep text and code.",
+    "garbled": "Repair the encoding or drop the record.",
+    "forbidden": "Drop the record.",
+    "public_data_set": "Look at each hit: a name alone proves nothing; drop copied records.",
+    "source_missing": "Name the community, or the source and the answering model.",
+    "low_model": "Drop the answer or write it anew with a stronger model.",
+    "synthetic_question": "Replace the question with one that a user asked.",
+    "message_duplicate": "Keep one of the copies.",
+}
 
 
 def tables(findings: DataFrame, gates: DataFrame, hist: DataFrame, advice: dict[str, str] | None = None) -> list[tuple[str, list[str], list[list[str]]]]:
     """(title, header, rows) of a report: gates, items with advice and state, distributions, details with errors first."""
-    advice = advice or {}
+    advice = ADVICE_QA if advice is None else advice
     summary = [[r.item, r.level, str(r.cnt), ", ".join(r.samples or []), "to fix" if r.level == "ERROR" else "to review", advice.get(r.item, ADVICE_DEFAULT)] for r in item_summary(findings).orderBy("level", "item").collect()]
     gate_rows = [[r.gate, r.level, "" if r.value is None else f"{r.value:.2f}", "" if r.threshold is None else f"{r.threshold:g}"] for r in gates.orderBy("gate").collect()]
     spread = [[r.dim, r.key or "", str(r.cnt)] for r in hist.orderBy("dim", hist["cnt"].desc(), "key").limit(DETAIL_ROWS).collect()]

@@ -209,3 +209,40 @@ def test_report_and_stream(spark, tmp_path):
     q = stream_findings(spark, str(tmp_path / "in"), lambda b: blog.check(b, "2026-09-01"), str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == found.count()
+
+
+def test_deep_rules(spark, tmp_path):
+    from sievework.plans import deep
+
+    plain = "Sort all numbers first and then add the largest ones together until done."
+    rec = lambda i, q, a, **m: {"id": i, "message": [{"question": q, "answer": a}], "metadata": {"primary_language": "Python", "tokenizer": "tiktoken/o200k_base", "question_tokens": 2, "answer_tokens": 3, **m}}
+    rows = [
+        rec("ok", "how", "```py\nprint(1)\n```"),
+        rec("prose", "how", plain),
+        rec("flagged", "how", plain, has_code=True),
+        rec("label", "how", "/* ```java\nx\n``` */\n```cpp\nint x;\n```", primary_language="Rust"),
+        rec("family", "how", "```cpp\nint x;\n```", primary_language="c"),
+        rec("bare", "how", "package main\nfunc main() { }", primary_language="java"),
+        rec("odd", "how", "unknown tongue here", primary_language="text"),
+        rec("json", "how", "```json\n{}\n```", primary_language="JSON"),
+        rec("cut", "1 <= n < 105", "```py\nprint(1)\n```\n```py\nprint("),
+        rec("power", "-231 <= x <= 231 - 1", "```python3\nx = 1\n```"),
+        rec("template", "q", "此处撰写解题思路\n```py\nx\n```"),
+        rec("title", "q", "Sum\n题解", primary_language=""),
+        rec("robot", "q", "```py\nx\n```", author="by GPT-generated bot"),
+        {"id": "none", "message": None, "metadata": None},
+    ]
+    parsed = load(spark, tmp_path, rows)
+    got = items(deep.check(parsed, "code"))
+    assert got == {
+        "ok": [], "prose": ["deep_language", "deep_no_code"], "flagged": [], "label": ["deep_language"], "family": [], "bare": ["deep_language"], "odd": [], "json": ["deep_language"],
+        "cut": ["deep_cut_answer", "deep_flat_power"], "power": ["deep_flat_power"], "template": ["deep_template"], "title": ["deep_template"], "robot": ["deep_ai_author"], "none": [],
+    }
+    forum = items(deep.check(parsed))
+    assert {k for k, v in forum.items() if v} == {"template", "title", "robot"}
+    again = {r.rid: (r.question_recount, r.answer_recount) for r in deep.token_recount(parsed, lambda: lambda t: len(t.split()), 1.0).collect()}
+    assert "ok" in again and again["prose"] == (1, 13) and "none" not in again
+    same = load(spark, tmp_path, [rec("s", "a b", "c d e")])
+    assert deep.token_recount(same.filter("v is not null"), lambda: lambda t: len(t.split()), 1.0).filter("rid = 's'").count() == 0
+    count = deep.encoding_counter("/opt/tokenizers/byte_bpe_50k.tiktoken")()
+    assert count("") == 0 and 0 < count("hello world again") <= 17
