@@ -11,14 +11,14 @@ from sievework.operators import findings as O
 from sievework.operators import sampling
 from sievework.plans import blog, commit, deep, qa
 from sievework.sources.records import parsed
-from sievework.sources.tables import table
+from sievework.sources.tables import spread, table
 
 AS_OF = "2026-09-01"
 
 
 def article_records(spark, sf_dir):
     """documents as article records: text is the content, source the platform, lang the language."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     meta = F.struct(F.concat(F.lit("t"), "doc_id").alias("title"), F.concat(F.lit("https://example.org/"), "doc_id").alias("url"), F.col("source").alias("source_platform"), F.lit("a").alias("author_or_org"), F.lit("2024-01-01").alias("publish_time"), F.lit("x").alias("content_category"), F.lit(True).alias("is_original"), F.array("lang").alias("primary_languages"))
     line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"), meta.alias("meta")))
     return parsed(docs.select(F.lit("documents").alias("file"), F.col("doc_id").alias("pos"), line.alias("line")))
@@ -73,7 +73,7 @@ def qa_deep_findings(spark, sf_dir):
 def commit_records(spark, sf_dir):
     """documents as fix commits: a change of the first of the text's lines; in French ones the fixed code has a line more than the diff."""
     rows = F.transform(F.split("text", r"\. ", -1), lambda x: right_strip(F.regexp_replace(x, r"[\r\n]", " ")))
-    d = table(spark, sf_dir, "documents").filter("text is not null").withColumn("old", F.concat(F.array(F.lit("first")), rows, F.array(F.lit("last"))))
+    d = spread(table(spark, sf_dir, "documents")).filter("text is not null").withColumn("old", F.concat(F.array(F.lit("first")), rows, F.array(F.lit("last"))))
     rest = F.slice("old", F.lit(2), F.size("old") - 1)
     new = F.concat(F.array(F.lit("changed()")), rest, F.when(F.col("lang") == "fr", F.array(F.lit("extra"))).otherwise(F.array().cast("array<string>")))
     head = ("diff --git a/src/m.c b/src/m.c", "--- a/src/m.c", "+++ b/src/m.c")
