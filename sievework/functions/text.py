@@ -28,6 +28,11 @@ def dedup_normal(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_replace(text, DATA_IMAGE, "[img]")), PY_SPACE, "")
 
 
+def gram_normal(text: Column) -> Column:
+    """Lower-cased text without white space, as the near-duplicate gates compare it."""
+    return F.regexp_replace(F.lower(text), PY_SPACE, "")
+
+
 def char_ngrams(text: Column, n: int, keep_short: bool) -> Column:
     """Distinct character n-grams; a text shorter than n is its own only gram when keep_short, else it has none."""
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))

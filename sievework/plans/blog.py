@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import patterns as P
 from sievework.functions import pii
-from sievework.functions.text import contained, contains_any, fence_state, lines, right_strip, strip
+from sievework.functions.text import contained, contains_any, fence_state, gram_normal, lines, right_strip, strip
 from sievework.operators import findings as O
 from sievework.sources.records import missing_of, strings_at, text_at, type_at
 
@@ -117,6 +117,11 @@ def histograms(checked: DataFrame) -> DataFrame:
     return single.unionByName(langs.select(F.lit("language").alias("dim"), "key", "cnt"))
 
 
+def near_texts(checked: DataFrame) -> DataFrame:
+    """(norm) for the near-duplicate search: each article's text without embedded images."""
+    return checked.select(gram_normal(F.col("work")).alias("norm"))
+
+
 def gate_rows(stat: DataFrame, hist: DataFrame, near: int | None = None) -> DataFrame:
     """Threshold gates; near: near-duplicate pairs, None where they weren't searched (level SKIP)."""
     c = F.col

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sievework.functions import patterns as P
 from sievework.functions import pii
 from sievework.functions.code import block_counts, closed_blocks, unbalanced_blocks
-from sievework.functions.text import contained, contains_any, estimated_tokens, matches, prose_segments, starts_any, strip, without_links
+from sievework.functions.text import contained, contains_any, estimated_tokens, gram_normal, matches, prose_segments, starts_any, strip, without_links
 from sievework.operators import findings as O
 from sievework.sources.records import absent, missing, missing_of, text_at, type_at
 
@@ -147,6 +147,11 @@ def mixed_files(checked: DataFrame) -> DataFrame:
     return checked.filter("kind is not null").groupBy("file").agg(F.collect_set("kind").alias("kinds")).filter(F.size("kinds") > 1).select("file")
 
 
+def near_texts(checked: DataFrame) -> DataFrame:
+    """(norm) for the near-duplicate search: each dialogue's questions and answers."""
+    return checked.select(gram_normal(F.col("full")).alias("norm"))
+
+
 def time_concentration(checked: DataFrame, least: int = 100, share: float = 0.05) -> DataFrame:
     """(question_time, cnt, total) if one time holds over 5 % of at least 100 records; a missing time counts as None."""
     counts = O.top_of(O.histogram(checked, question_time=F.col("question_time")))
@@ -157,7 +162,8 @@ def histograms(checked: DataFrame) -> DataFrame:
     return O.histogram(checked, language=F.col("language"), domain=F.col("domain"))
 
 
-def gate_rows(stat: DataFrame, hist: DataFrame, mixed: int = 0, near: int | None = None, exempt_multi_turn: bool = True) -> DataFrame:
+def gate_rows(stat: DataFrame, hist: DataFrame, mixed: int, near: int | None = None, exempt_multi_turn: bool = True) -> DataFrame:
+    """Threshold gates; mixed: files of mixed kinds; near: near-duplicate pairs, None where they weren't searched (level SKIP)."""
     c = F.col
     multi = c("multi_turn") / F.greatest(c("total"), F.lit(1)) * 100
     rows = O.gates(
@@ -177,4 +183,4 @@ def gate_rows(stat: DataFrame, hist: DataFrame, mixed: int = 0, near: int | None
     return rows.unionByName(near_row).unionByName(one).unionByName(skip)
 
 
-__all__ = ["check", "derived", "gate_rows", "histograms", "missing", "mixed_files", "privacy", "public_set", "stats", "time_concentration"]
+__all__ = ["check", "derived", "gate_rows", "histograms", "missing", "mixed_files", "near_texts", "privacy", "public_set", "stats", "time_concentration"]

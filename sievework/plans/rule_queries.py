@@ -8,7 +8,7 @@ from sievework.functions import patterns as P
 from sievework.functions import pii
 from sievework.functions.text import escape_html, estimated_tokens, right_strip, strip
 from sievework.operators import findings as O
-from sievework.operators import sampling
+from sievework.operators import neardup, sampling
 from sievework.plans import blog, commit, deep, qa
 from sievework.sources.records import parsed
 from sievework.sources.tables import spread, table
@@ -35,7 +35,8 @@ def blog_privacy(spark, sf_dir):
 
 def blog_gates(spark, sf_dir):
     checked = blog.check(article_records(spark, sf_dir), AS_OF)
-    return blog.gate_rows(blog.stats(checked), blog.histograms(checked)).select("gate", "level", "numer", "denom")
+    near = neardup.near_pair_count(blog.near_texts(checked))
+    return blog.gate_rows(blog.stats(checked), blog.histograms(checked), near).select("gate", "level", "numer", "denom")
 
 
 def qa_records(spark, sf_dir):
@@ -62,7 +63,8 @@ def qa_duplicates(spark, sf_dir):
 
 def qa_gates(spark, sf_dir):
     checked = qa.check(qa_records(spark, sf_dir))
-    return qa.gate_rows(qa.stats(checked), qa.histograms(checked)).select("gate", "level", "numer", "denom")
+    mixed, near = qa.mixed_files(checked).count(), neardup.near_pair_count(qa.near_texts(checked))
+    return qa.gate_rows(qa.stats(checked), qa.histograms(checked), mixed, near).select("gate", "level", "numer", "denom")
 
 
 def qa_deep_findings(spark, sf_dir):
