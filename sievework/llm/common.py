@@ -2,49 +2,69 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark import StorageLevel  # noqa: F401  (re-exported for operators that persist)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that an operator turns into Python objects at once; the session's own Arrow batches may be larger.
 BATCH_ROWS = 256
-BATCH_BYTES = "8m"
 #: A table of at most this many rows may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
 #: Entries a Python worker keeps in a word cache before it starts afresh.
 CACHE_WORDS = 400_000
+#: Bounds of a learning sample: code points of one row, and of all rows of a class. Rows that don't fit are passed over.
+LONGEST_ROW, CLASS_CHARS = 1_000_000, 20_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that very long texts don't fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many rows, so that what is made of them stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set (tests)."""
-    set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if set_dir is None:
-        set_dir = tempfile.mkdtemp(prefix="sievework-")
-        spark.sparkContext.setCheckpointDir(set_dir)
-    return set_dir
+    """The folder that the driver and all executors share. A temporary one serves a local session (tests); elsewhere it must be set."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="sievework-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
-def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def tables_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def new_table(spark: SparkSession) -> str:
+    """A path for a table of this application in the shared folder."""
+    return f"{tables_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes every table that this application has written; results that read them must have been saved before."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_table(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sized(small: DataFrame, rows: int | None = None) -> DataFrame:
@@ -53,17 +73,29 @@ def sized(small: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(small) if n <= BROADCAST_ROWS else small
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns by their quoted names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name with as many underscores in front as it takes to be no column of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def id_text_crc(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
 def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """fn over Arrow batches of df; None results are dropped."""
-    small_batches(df.sparkSession)
+    """fn over small Arrow batches of df; None results are dropped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
+        for batch in small_batches(batches):
+            if (out := fn(batch)) is not None:
                 yield out
 
     return df.mapInArrow(run, schema)
@@ -73,14 +105,12 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int], max_chars: int = 40_000_000) -> list:
-    """Rows (doc_id, text, y) of learnable labelled documents, at most per_class[y] of each class in the order of a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]) -> DataFrame:
+    """(h, doc_id, y, text) of learnable labelled documents, at most per_class[y] of each class in the order of a hash of the id.
 
     Learnable: crc32 of doc_id as text, modulo 3, is not 1. NULL ids or labels take no part; of several labels of a
-    document the largest counts, of repeated rows one. The sample ends at max_chars characters in all.
+    document the largest counts, of repeated rows one.
     """
-    from pyspark.sql import Window
-
     by_id = (
         labels.select("doc_id", F.col(label).cast("int").alias("y"))
         .filter("doc_id is not null and y is not null")
@@ -94,6 +124,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
         part = by_id.filter(F.col("y") == y).orderBy("h", "doc_id").limit(n)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y", "h").agg(F.min("text").alias("text"))
-    upto = Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    kept = rows.withColumn("upto", F.sum(F.length(F.coalesce("text", F.lit("")))).over(upto)).filter(F.col("upto") <= max_chars)
-    return kept.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").collect()
+    return rows.select("h", "doc_id", "y", "text")
+
+
+def fitting(rows: Iterable[dict], longest: int = LONGEST_ROW, total: int = CLASS_CHARS) -> Iterator[dict]:
+    """The rows (y, text) in their order, but for those beyond the bounds; a row passed over costs no other row its place."""
+    used: dict = {}
+    for r in rows:
+        n = len(r["text"] or "")
+        if n <= longest and used.get(r["y"], 0) + n <= total:
+            used[r["y"]] = used.get(r["y"], 0) + n
+            yield {"text": r["text"] or "", "y": r["y"]}
+
+
+def trained(sample: DataFrame, order: list[str], train: Callable[[Iterable[dict]], Any]) -> Any:
+    """What train makes of a bounded sample's rows in the given order, in one task on an executor: the driver gets the result alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in small_batches(batches, 64) for r in batch.to_pylist())
+        yield pa.record_batch([pa.array([pickle.dumps(train(rows))], pa.binary())], ["model"])
+
+    made = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else train([])

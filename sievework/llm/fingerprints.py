@@ -79,7 +79,7 @@ def canonical_classes(docs: DataFrame, width: int = WIDE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
-        for batch in batches:
+        for batch in small_batches(batches):
             names, forms = [], []
             for t in texts_of(batch):
                 form = canonical(t)
@@ -93,7 +93,6 @@ def canonical_classes(docs: DataFrame, width: int = WIDE) -> DataFrame:
                     forms.append(form)
             yield pa.record_batch([pa.array(names, pa.string()), pa.array(forms, pa.binary())], ["fingerprint", "form"])
 
-    small_batches(docs.sparkSession)
     forms = docs.select("text").mapInArrow(run, "fingerprint string, form binary")
     compared = forms.join(sized(shared), "fingerprint", "left_semi").distinct()
     order = Window.partitionBy("fingerprint").orderBy("form")
@@ -188,7 +187,7 @@ def _neighbour_rows(docs: DataFrame, width: int) -> DataFrame:
             out.clear()
             return pa.record_batch(arrays, ["doc_id", "n_chars", "edited_sha256", "digest", "edited_digest", "seal", "near_edited", "near_next"])
 
-        for batch in batches:
+        for batch in small_batches(batches):
             buckets, ghosts, ids = (batch.column(i).to_pylist() for i in range(3))
             for bucket, ghost, doc_id, text in zip(buckets, ghosts, ids, texts_of(batch), strict=True):
                 form = canonical(text)
@@ -198,6 +197,5 @@ def _neighbour_rows(docs: DataFrame, width: int) -> DataFrame:
             if out:
                 yield flush()
 
-    small_batches(docs.sparkSession)
     return with_next(docs).mapInArrow(run, schema)
 

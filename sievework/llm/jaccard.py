@@ -7,7 +7,8 @@ Equal sets are one node from the start. For each node the rarest elements by a c
 long that linked sets must share an element of it. Index lists of prefix elements are ordered by set size and cut into
 blocks that know their sizes and first positions, so a probe skips whole blocks that no size or position can match
 (index-level skipping); what remains passes a bitmap bound on the symmetric difference. Entries that already hang together
-are not compared again. The candidate graph's components are then solved exactly: a local index over all elements gives one
+are not compared again. A list beyond LIST_ROWS entries is cut into runs of its size order, and pairs of runs that can hold
+links are scanned by tasks of their own. The candidate graph's components are then solved exactly: a local index over all elements gives one
 set's overlaps with all others, and the overlaps of a set that is highly similar to one already answered are derived from
 its answers by adding and taking off the lists of the few elements in which they differ (answer-level skipping).
 
@@ -15,7 +16,9 @@ A large component is solved in blocks of members, one task for each pair of bloc
 size. Sketch counts steer the order only; any order gives the same links.
 
 Defined results: NULL and blank texts have the empty set, linked with nothing. Rows of equal sets are linked. A NULL doc_id
-never names a component unless all its rows are NULL. Rows with one doc_id and different texts are nodes of their own.
+never names a component unless all its rows are NULL. Rows with one doc_id and different texts are nodes of their own, and a row
+counts by its own text, whatever its id. Very long texts are whole sets. An empty table has no rows. Columns other than doc_id and
+text are not read; one_of_each() returns them as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import CACHE_WORDS, sized, small_batches, written
+from sievework.llm.common import CACHE_WORDS, columns_of, free_name, sized, small_batches, written
 from sievework.llm.graph import components
 
 #: The sketch: 2^SKETCH_BITS counters that stop at 15, in SLICES slices.
@@ -37,6 +40,8 @@ SKETCH_BITS = 26
 SLICES = 64
 BITMAP = 64  # bytes
 LIST_BLOCK = 64
+#: Entries of an index list, or of a run of a longer one, that one task compares with each other; postings of a part, about.
+LIST_ROWS, PART_ROWS = 4096, 200_000
 #: Members and elements that one block of a candidate component holds at most, about.
 MEMBERS, ELEMENTS = 1024, 1_500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -93,16 +98,17 @@ def bitmap(elements: np.ndarray) -> np.ndarray:
 
 
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, n, node) of all documents, and rows (slice, counts) with each task's part of the sketch."""
+    """Rows (doc_id, seal, n, node) of all documents, seal being a hash of the text, and rows (slice, counts) with each task's part of the sketch."""
     bits = SKETCH_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = _Hashes(), set()
         counts = np.zeros(1 << bits, np.uint8)
-        names = ["doc_id", "n", "node", "slice", "counts"]
-        for batch in batches:
-            n, nodes = [], []
-            for text in batch.column(1).to_pylist():
+        names = ["doc_id", "seal", "n", "node", "slice", "counts"]
+        doc_type = None
+        for batch in small_batches(batches):
+            n, nodes, doc_type = [], [], batch.schema.field(0).type
+            for text in batch.column(2).to_pylist():
                 s = shingle_set(cache, text, k)
                 n.append(len(s))
                 nodes.append(node_of(s) if len(s) else None)
@@ -113,15 +119,14 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                     at = (s >> np.uint64(64 - bits)).astype(np.int64)
                     np.add.at(counts, at[counts[at] < 15], 1)
             rows = len(n)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
         parts = np.minimum(counts, 15).reshape(SLICES, -1)
-        doc_type = batch.schema.field(0).type if seen else None
         for i in range(SLICES if seen else 0):
             blob = zstandard.compress(parts[i].tobytes(), 1)
-            yield pa.record_batch([pa.nulls(1, doc_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
+            yield pa.record_batch([pa.nulls(1, doc_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
 
-    small_batches(docs.sparkSession)
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node binary, slice int, counts binary")
+    source = docs.select("doc_id", F.xxhash64("text").alias("seal"), F.col("text").cast("binary"))
+    return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, seal long, n long, node binary, slice int, counts binary")
 
 
 def whole_sketch(parts: DataFrame) -> np.ndarray:
@@ -162,9 +167,8 @@ def prefix_postings(elements: np.ndarray, node: bytes, sketch: np.ndarray, num:
     return out
 
 
-def postings(docs: DataFrame, k: int, num: int, den: int, sketch: np.ndarray, parts: int) -> DataFrame:
-    """(part, blob): postings dealt by element."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+def postings(docs: DataFrame, k: int, num: int, den: int, shared, parts: int) -> DataFrame:
+    """(part, blob): postings dealt by element; shared: the broadcast sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen, held, size = _Hashes(), set(), [], 0
@@ -177,7 +181,7 @@ def postings(docs: DataFrame, k: int, num: int, den: int, sketch: np.ndarray, pa
             blobs = [x.tobytes() for x in np.split(rows[by], starts[1:])]
             return pa.record_batch([pa.array(ids.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for text in batch.column(0).to_pylist():
                 s = shingle_set(cache, text, k)
                 if not len(s) or (node := node_of(s)) in seen:
@@ -229,59 +233,121 @@ def _possible(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     return ok & (differ <= na + nb - 2 * need)
 
 
-def scan_list(entries: np.ndarray, forest: Forest, num: int, den: int, size: int = LIST_BLOCK) -> None:
-    """Joins the candidates of one index list, whose entries ascend by size, skipping blocks that can't match."""
-    if len({forest.find(d) for d in entries["d"].tolist()}) == 1:
-        return
+def scan_list(entries: np.ndarray, forest: Forest, num: int, den: int, size: int = LIST_BLOCK, split: int = 0) -> None:
+    """Joins the candidates of one index list, whose entries ascend by size, skipping blocks that can't match.
+
+    split: entries before it are compared with those from it on only.
+    """
+    root = np.array([forest.find(d) for d in entries["d"].tolist()], np.int64)
     starts = range(0, len(entries), size)
     first = np.minimum.reduceat(entries["p"], starts).astype(np.int64)
     low, high = entries["n"][::size].astype(np.int64), np.maximum.reduceat(entries["n"], starts).astype(np.int64)
-    for i in range(len(entries) - 1):
+    same = bool((root == root[0]).all())
+    for i in range(split or len(entries) - 1):
+        if same:
+            return
         e = entries[i : i + 1]
-        n, p = int(e["n"][0]), int(e["p"][0])
-        b0 = i // size
+        n, p, after = int(e["n"][0]), int(e["p"][0]), max(i + 1, split)
+        b0 = after // size
         need = least_overlap(n, np.maximum(low[b0:], n), num, den)
         room = 1 + np.minimum(n - p - 1, high[b0:] - first[b0:] - 1)
-        alive = (low[b0:] * num <= n * den) & (room >= need)
-        for b in b0 + np.flatnonzero(alive):
-            block = entries[max(i + 1, b * size) : (b + 1) * size]
-            mine = forest.find(int(e["d"][0]))
-            apart = np.array([forest.find(d) != mine for d in block["d"].tolist()], bool)
-            if apart.any():
-                block = block[apart]
-                for d in block["d"][_possible(np.broadcast_to(e, len(block)), block, num, den)].tolist():
-                    forest.join(int(e["d"][0]), d)
+        alive = np.flatnonzero((low[b0:] * num <= n * den) & (room >= need))
+        at = ((b0 + alive) * size + np.arange(size)[:, None]).T.ravel()
+        at = at[(at >= after) & (at < len(entries))]
+        at = at[root[at] != root[i]]
+        at = at[_possible(np.broadcast_to(e, len(at)), entries[at], num, den)]
+        if len(at):
+            joined = np.unique(np.append(root[at], root[i]))
+            for r in joined[1:].tolist():
+                forest.join(int(joined[0]), r)
+            root[np.isin(root, joined)] = forest.find(int(joined[0]))
+            same = bool((root == root[0]).all())
+
+
+def edges_of(forest: Forest) -> Iterator[pa.RecordBatch]:
+    """(a, b): each member with its root."""
+    found = [(x, r) for x in list(forest.up) if (r := forest.find(x)) != x]
+    if found:
+        x, r = zip(*found, strict=True)
+        yield pa.record_batch([pa.array(x, pa.int64()), pa.array(r, pa.int64())], ["a", "b"])
+
+
+def scan_part(rows: np.ndarray, forest: Forest, num: int, den: int, block: int, most: int) -> Iterator[np.ndarray]:
+    """Joins the candidates of a part's index lists; lists beyond `most` entries are returned instead, ascending by size."""
+    rows = rows[np.lexsort((rows["d"], rows["n"], rows["t"]))]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows["t"][1:] != rows["t"][:-1]) | (rows["d"][1:] != rows["d"][:-1])
+    rows = rows[fresh]
+    starts = np.flatnonzero(np.append(True, rows["t"][1:] != rows["t"][:-1]))
+    sizes = np.diff(np.append(starts, len(rows)))
+    twos = starts[sizes == 2]
+    a, b = rows[twos], rows[twos + 1]
+    ok = _possible(a, b, num, den)
+    for x, y in zip(a["d"][ok].tolist(), b["d"][ok].tolist(), strict=True):
+        forest.join(x, y)
+    for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        if n > most:
+            yield rows[s : s + n]
+        else:
+            scan_list(rows[s : s + n], forest, num, den, block)
 
 
-def candidate_edges(dealt: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): a spanning forest of the candidates that each task finds."""
-    block = LIST_BLOCK
+def run_pairs(entries: np.ndarray, most: int, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of runs of a long list, each with itself and with later ones whose sizes allow a link."""
+    runs = [entries[i : i + most] for i in range(0, len(entries), most)]
+    for i, a in enumerate(runs):
+        for b in runs[i:]:
+            if int(b["n"][0]) * num > int(a["n"][-1]) * den:
+                break
+            yield a, b
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [b for batch in batches for b in batch.column(1).to_pylist()]
+
+def candidate_edges(dealt: DataFrame, num: int, den: int, parts: int) -> DataFrame:
+    """(a, b): a spanning forest of the candidates that each task finds; dealt: (part, blob) with whole parts together.
+
+    A task holds one part at a time. Runs of long lists go on to tasks of their own, so a list of any length is split.
+    """
+    block, most = LIST_BLOCK, LIST_ROWS
+    names = ["a", "b", "left", "right"]
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, part, blobs = Forest(), None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if blobs:
+                for entries in scan_part(np.frombuffer(b"".join(blobs), POSTING), forest, num, den, block, most):
+                    for x, y in run_pairs(entries, most, num, den):
+                        blob = [pa.array([z.tobytes()], pa.binary()) for z in (x, y)]
+                        yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), *blob], names)
+
+        for batch in small_batches(batches, 64):
+            for now, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if now != part:
+                    yield from done()
+                    part, blobs = now, []
+                blobs.append(blob)
+        yield from done()
+        for e in edges_of(forest):
+            yield pa.record_batch([e.column(0), e.column(1), pa.nulls(e.num_rows, pa.binary()), pa.nulls(e.num_rows, pa.binary())], names)
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
-        if blobs:
-            rows = np.frombuffer(b"".join(blobs), POSTING)
-            rows = rows[np.lexsort((rows["d"], rows["n"], rows["t"]))]
-            fresh = np.ones(len(rows), bool)
-            fresh[1:] = (rows["t"][1:] != rows["t"][:-1]) | (rows["d"][1:] != rows["d"][:-1])
-            rows = rows[fresh]
-            starts = np.flatnonzero(np.append(True, rows["t"][1:] != rows["t"][:-1]))
-            sizes = np.diff(np.append(starts, len(rows)))
-            twos = starts[sizes == 2]
-            a, b = rows[twos], rows[twos + 1]
-            ok = _possible(a, b, num, den)
-            for x, y in zip(a["d"][ok].tolist(), b["d"][ok].tolist(), strict=True):
-                forest.join(x, y)
-            for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                scan_list(rows[s : s + n], forest, num, den, block)
-        found = [(x, forest.find(x)) for x in list(forest.up)]
-        found = [(x, r) for x, r in found if x != r]
-        if found:
-            x, r = zip(*found, strict=True)
-            yield pa.record_batch([pa.array(x, pa.int64()), pa.array(r, pa.int64())], ["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long")
+        for batch in small_batches(batches, 16):
+            for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = np.frombuffer(left, POSTING), np.frombuffer(right, POSTING)
+                # One run after the other ascends by size still.
+                if left == right:
+                    scan_list(a, forest, num, den, block)
+                else:
+                    scan_list(np.concatenate([a, b]), forest, num, den, block, len(a))
+        yield from edges_of(forest)
+
+    found = written(dealt.mapInArrow(first, "a long, b long, left binary, right binary"))
+    near = found.filter("left is null").select("a", "b")
+    long_lists = found.filter("left is not null").select("left", "right")
+    if long_lists.isEmpty():
+        return near
+    return near.unionByName(long_lists.repartition(parts, F.xxhash64("left", "right")).mapInArrow(second, "a long, b long"))
 
 
 def solve(nodes: list[bytes], sets: list[np.ndarray], copies: list[int], side: list[bool] | None, num: int, den: int) -> tuple[list[tuple[bytes, bytes]], dict[bytes, int]]:
@@ -337,7 +403,7 @@ def by_group(df: DataFrame, keys: list[str], parts: int, fn: Callable[[list[dict
                 columns = list(zip(*rows, strict=True))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int64()), strict=True)], names)
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for row in batch.to_pylist():
                 now = tuple(row[k] for k in keys)
                 if now != key:
@@ -355,15 +421,27 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
     component_id is the smallest doc_id reachable by links; n_links counts the other rows that are linked directly, among
     them rows with the same set. An empty set has its own doc_id and no links.
     """
+    found = _joined(docs, k, num, den)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """join() with seal, the hash of the row's text, and chosen: whether the row's text is that of its component's first row."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = written(profile(docs, k))
-    rows = table.filter("slice is null").select("doc_id", "n", "node")
-    sketch = whole_sketch(table.filter("slice is not null").select("slice", "counts"))
-    dealt = postings(docs, k, num, den, sketch, 4 * parts).repartition(parts, "part")
-    groups = components(candidate_edges(dealt, num, den))
-
-    nodes = written(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("n").alias("n")))
+    rows = table.filter("slice is null").select("doc_id", "seal", "n", "node")
+    shared = spark.sparkContext.broadcast(whole_sketch(table.filter("slice is not null").select("slice", "counts")))
+    # Every set gives its prefix at most, so this many parts hold PART_ROWS postings each, or fewer.
+    most = rows.agg(F.sum(F.col("n") * (den - num) / den + 1)).first()[0] or 0
+    pieces = max(4 * parts, int(most // PART_ROWS))
+    dealt = postings(docs, k, num, den, shared, pieces).repartition(parts, "part").sortWithinPartitions("part")
+    groups = components(candidate_edges(dealt, num, den, parts))
+    shared.destroy()
+
+    first = F.min(F.struct("doc_id", "seal"))
+    known = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "seal")))
+    nodes = written(rows.filter("node is not null").groupBy("node").agg(F.coalesce(known, first).alias("rep"), F.count("*").alias("copies"), F.min("n").alias("n")))
     shorted = nodes.withColumn("short", _short_column(F.col("node")))
     inside = written(shorted.join(groups.select(F.col("node").alias("short"), "root"), "short").drop("short"))
     load = inside.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("elements"))
@@ -374,12 +452,17 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
     tree = components(links.filter("b is not null").select("a", "b"))
     degrees = links.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("degree").alias("degree"))
     reps = nodes.select("node", "rep", "copies")
-    lows = tree.join(reps, "node").groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = tree.join(lows, "root").select("node", "component_id")
-    special = reps.join(named, "node", "left").join(degrees, "node", "left").filter("copies > 1 or component_id is not null")
-    special = written(special.select("node", F.coalesce("component_id", "rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")))
-    out = rows.join(sized(special), "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    known_rep = F.min(F.when(F.col("rep.doc_id").isNotNull(), F.col("rep")))
+    lows = tree.join(reps, "node").groupBy("root").agg(F.coalesce(known_rep, F.min("rep")).alias("low"))
+    named = tree.join(lows, "root").select("node", "low")
+    special = reps.join(named, "node", "left").join(degrees, "node", "left").filter("copies > 1 or low is not null or degree > 0")
+    special = written(special.select("node", F.coalesce("low", "rep").alias("low"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")))
+    # Rows without a set have no node; they take no part in the join, where they would meet in one task.
+    out = rows.filter("node is not null").join(sized(special), "node", "left")
+    chosen = F.col("low").isNull() | (F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & F.col("low.seal").eqNullSafe(F.col("seal")))
+    shape = lambda df, *own: df.select("doc_id", "seal", F.col("n").alias("n_shingles"), *own)
+    linked = shape(out, F.when(F.col("low").isNull(), F.col("doc_id")).otherwise(F.col("low.doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), chosen.alias("chosen"))
+    return linked.unionByName(shape(rows.filter("node is null"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("chosen")))
 
 
 def _short_column(node):
@@ -392,27 +475,32 @@ def _short_column(node):
 
 
 def _solved(docs: DataFrame, members: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
-    """Rows (a, b) of links and rows (a, NULL, degree); members: (node, rep, copies, root, blocks)."""
-    wanted = members.select(F.col("rep").alias("doc_id"), F.struct("node", "copies", "root", "blocks").alias("m"))
-    grouped = wanted.groupBy("doc_id").agg(F.collect_list("m").alias("ms"))  # more than one only for a repeated doc_id
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    few = sized(written(grouped))
-    found = texts.join(few, texts["doc_id"].eqNullSafe(few["doc_id"])).select("text", "ms")
+    """Rows (a, b) of links and rows (a, NULL, degree); members: (node, rep, copies, root, blocks).
+
+    A node's set is made again from the text of its first row, found by id and seal. Rows that agree in both are taken once a task.
+    """
+    few = sized(written(members.select(F.col("rep.doc_id").alias("id"), F.col("rep.seal").alias("mark"), F.struct("node", "copies", "root", "blocks").alias("m"))))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("seal"), F.col("text").cast("binary").alias("text"))
+    found = texts.join(few, (texts["seal"] == few["mark"]) & texts["doc_id"].eqNullSafe(few["id"])).select("text", "m")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
-        for batch in batches:
+        cache, seen = _Hashes(), set()
+        for batch in small_batches(batches):
             out = []
-            for text, ms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if m["node"] in seen:
+                    continue
+                if len(seen) > CACHE_WORDS:
+                    seen.clear()
                 s = shingle_set(cache, text, k)
-                node = node_of(s) if len(s) else None
-                out += [(m["root"], m["blocks"], node, m["copies"], s.tobytes()) for m in ms if m["node"] == node]
+                if len(s) and node_of(s) == m["node"]:  # else texts of one id share a seal
+                    seen.add(m["node"])
+                    out.append((m["root"], m["blocks"], m["node"], m["copies"], s.tobytes()))
             if out:
                 c = list(zip(*out, strict=True))
                 kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(c, kinds, strict=True)], ["root", "blocks", "node", "copies", "set"])
 
-    small_batches(docs.sparkSession)
     sets = found.mapInArrow(fetch, "root long, blocks int, node binary, copies long, set binary")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
@@ -431,13 +519,22 @@ def _solved(docs: DataFrame, members: DataFrame, k: int, num: int, den: int, par
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs, all columns, with one row of each component: its smallest doc_id. Rows without a set or without a doc_id stay."""
-    found = join(docs, k, num, den).filter("n_shingles > 0 and doc_id is not null")
-    found = written(found.select("doc_id", "component_id"))
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(sized(gone), "doc_id", "left_anti").select(docs.columns)
-    again = written(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    """docs, all columns, with one row of each component: the row of its smallest doc_id. Rows without a set stay.
+
+    A row goes by its id and its own text, so texts that share an id are judged apart. Of rows that agree in both, one stays.
+    A component whose ids are all NULL keeps one row as well.
+    """
+    found = written(_joined(docs, k, num, den).filter("n_shingles > 0").select("doc_id", "seal", "chosen", "n_links"))
+    seal = free_name(docs, "_seal")
+    sealed = docs.withColumn(seal, F.xxhash64("text"))
+
+    def of(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        few = sized(written(keys.select(F.col("doc_id").alias("_id"), F.col("seal").alias("_mark")).distinct()))
+        return rows.join(few, (rows[seal] == few["_mark"]) & rows["doc_id"].eqNullSafe(few["_id"]), how)
+
+    kept = of(found.filter("not chosen"), "left_anti", sealed)
+    again = found.filter("chosen and n_links > 0").groupBy("doc_id", "seal").count().filter("count > 1")
     if again.isEmpty():
-        return kept
-    once = kept.join(sized(again), "doc_id", "left_anti").select(docs.columns)
-    return once.unionByName(kept.join(sized(again), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+        return kept.select(*columns_of(docs))
+    once, twice = of(again, "left_anti", kept), of(again, "left_semi", kept)
+    return once.unionByName(twice.dropDuplicates(["doc_id", seal])).select(*columns_of(docs))

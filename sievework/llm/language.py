@@ -1,49 +1,52 @@
-"""Language identification by a bidirectional gated recurrent network over bytes.
+"""Language identification by a bidirectional gated recurrent network over a document's bytes.
 
-The network reads the UTF-8 bytes of a word in both directions and labels every byte with a distribution over
-languages; a document's probabilities are the mean over all its labelled bytes. States start anew at each word (a run
-of letters; runs beyond MAX_BYTES are cut), so a word's labels are the same wherever it stands and are computed once
-for each distinct word that a task meets. Training is backpropagation through time in numpy.
+The network reads the UTF-8 bytes of the text, ASCII letters in lower case, in both directions and labels every byte with a
+distribution over languages; a document's probabilities are the mean over all its bytes. A text is read in chunks of CHUNK
+bytes, many side by side; the state of each direction runs across words and starts CONTEXT bytes ahead of the chunk, so a label
+depends on at least that much text before and after its byte (or on all there is), and texts of any length take bounded memory.
+Training is backpropagation through time in numpy, over stretches of the learning documents.
 
-Defined results: NULL texts and texts without a letter are `und` with score 0. With no learnable row, or for a text
-when the model knows no language, `und` as well. Repeated rows are labelled each; other columns are not read.
+Defined results: NULL texts and texts without a letter are `und` with score 0. With no learnable row every text is `und`.
+Ties go to the language that sorts first. Repeated rows are labelled each; other columns are not read. Every language
+that has a learnable text is learned.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import CACHE_WORDS, id_text_crc, mapped
+from sievework.llm.common import id_text_crc, mapped, sized, trained
 
-MAX_BYTES = 32
-HIDDEN = 12
-#: Bounds of the learning sample: languages, documents of each, and words of each.
-MAX_LANGUAGES = 64
+CHUNK = 192
+CONTEXT = 32
+HIDDEN = 8
+#: Chunks that are read side by side.
+LANES = 1024
+#: Bounds of the learning sample: documents of each language, stretches of each document and their bytes.
 PER_LANGUAGE = 500
-WORDS_PER_LANGUAGE = 16_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+STRETCHES = 6
+STRETCH = 96
+_LETTER = re.compile(r"[^\W\d_]")
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def bytes_of(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace").lower()
 
 
-def byte_rows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes forward and backward, left-aligned (words by places), and lengths."""
-    n = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.frombuffer(b"".join(words), np.uint8)
-    wide = int(n.max()) if len(n) else 0
-    real = np.arange(wide) < n[:, None]
-    ahead, back = np.zeros((2, len(words), wide), np.uint8)
-    ahead[real] = flat
-    at = np.maximum(n[:, None] - 1 - np.arange(wide), 0)
-    back[real] = np.take_along_axis(ahead, at, 1)[real]
-    return ahead, back, n
+class Lanes:
+    """Runs of bytes side by side, the longest first, left-aligned (places by lanes)."""
+
+    def __init__(self, runs: list[bytes]):
+        self.n = np.fromiter(map(len, runs), np.int64, len(runs))
+        wide = int(self.n.max(initial=0))
+        self.bytes = np.zeros((wide, len(runs)), np.uint8)
+        self.bytes.T[np.arange(wide) < self.n[:, None]] = np.frombuffer(b"".join(runs), np.uint8)
 
 
 class BiGru:
@@ -52,186 +55,159 @@ class BiGru:
     def __init__(self, languages: list[str], params: dict[str, np.ndarray]):
         self.languages, self.params = languages, params
 
-    def run(self, rows: np.ndarray, n: np.ndarray, d: str, keep: bool = False):
-        """States (places, words, HIDDEN) of one direction; words must come longest first unless keep."""
+    def run(self, lanes: Lanes, d: str, keep: list | None = None) -> np.ndarray:
+        """States (places, lanes, HIDDEN) of one direction, whose lanes come longest first; keep gets what the gradient needs."""
         t, u = self.params["t" + d], self.params["u" + d]
-        h = np.zeros((len(rows), HIDDEN), t.dtype)
-        states, saved = np.zeros((rows.shape[1], len(rows), HIDDEN), t.dtype), []
-        for i in range(rows.shape[1]):
-            k = len(rows) if keep else int(np.searchsorted(-n, -i, side="left"))
-            x, was = t[rows[:k, i]], h[:k]
-            mixed = was @ u
-            zr = sigmoid(x[:, : 2 * HIDDEN] + mixed[:, : 2 * HIDDEN])
+        states = np.zeros((*lanes.bytes.shape, HIDDEN), t.dtype)
+        h = np.zeros((len(lanes.n), HIDDEN), t.dtype)
+        live = np.searchsorted(-lanes.n, -np.arange(len(states)), side="left")
+        for i, k in enumerate(live.tolist()):
+            was, mixed = h[:k], h[:k] @ u
+            x = t[lanes.bytes[i, :k]]
+            zr = x[:, : 2 * HIDDEN] + mixed[:, : 2 * HIDDEN]
+            np.tanh(np.multiply(zr, 0.5, out=zr), out=zr)  # the logistic function by way of tanh
+            zr += 1
+            zr *= 0.5
             z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
             new = np.tanh(x[:, 2 * HIDDEN :] + r * mixed[:, 2 * HIDDEN :])
-            now = new + z * (was - new)
-            if keep:
-                live = (n > i)[:, None]
-                now = np.where(live, now, was)
-                saved.append((was, mixed, z, r, new, live))
-            h = np.concatenate([now, h[k:]]) if k < len(h) else now
-            states[i, :k] = now
-        return (states, saved) if keep else states
-
-    def word_sums(self, words: list[bytes]) -> np.ndarray:
-        """For each word, the sum over its bytes of the label distributions."""
-        out = np.zeros((len(words), len(self.languages)), np.float32)
-        order = np.argsort([-len(w) for w in words], kind="stable")
-        for i in range(0, len(order), 4096):
-            part = order[i : i + 4096]
-            ahead, back, n = byte_rows([words[j] for j in part])
-            a = self.run(ahead, n, "f") @ self.params["vf"]
-            b = self.run(back, n, "b") @ self.params["vb"]
-            at = np.clip(n - 1 - np.arange(len(a))[:, None], 0, None)
-            logits = a + np.take_along_axis(b, at[:, :, None], 0) + self.params["c"]
-            e = np.exp(logits - logits.max(2, keepdims=True))
-            e /= e.sum(2, keepdims=True)
-            e[np.arange(len(a))[:, None] >= n] = 0
-            out[part] = e.sum(0)
-        return out
-
-    def gradient(self, words: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross-entropy over all labelled bytes, by backpropagation through time."""
-        p = self.params
-        ahead, back, n = byte_rows(words)
-        places = np.arange(ahead.shape[1])[:, None]
-        sf, kept_f = self.run(ahead, n, "f", True)
-        sb, kept_b = self.run(back, n, "b", True)
-        at = np.clip(n - 1 - places, 0, None)[:, :, None]
+            if keep is not None:
+                keep.append((was, mixed, z, r, new))
+            h = new + z * (was - new)
+            states[i, :k] = h
+        return states
+
+    def labels(self, ahead: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """Distributions from the states of both directions at the same bytes."""
+        logits = ahead @ self.params["vf"] + back @ self.params["vb"] + self.params["c"]
+        e = np.exp(logits - logits.max(-1, keepdims=True))
+        return e / e.sum(-1, keepdims=True)
+
+    def gradient(self, runs: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy over all labelled bytes, by backpropagation through time; runs come longest first."""
+        p, kept = self.params, {"f": [], "b": []}
+        lanes, turned = Lanes(runs), Lanes([r[::-1] for r in runs])
+        n, places = lanes.n, np.arange(len(lanes.bytes))[:, None]
+        sf, sb = self.run(lanes, "f", kept["f"]), self.run(turned, "b", kept["b"])
+        at = np.maximum(n - 1 - places, 0)[:, :, None]
         hb = np.take_along_axis(sb, at, 0)
-        logits = sf @ p["vf"] + hb @ p["vb"] + p["c"]
-        e = np.exp(logits - logits.max(2, keepdims=True))
-        d = e / e.sum(2, keepdims=True)
+        d = self.labels(sf, hb)
         d[:, np.arange(len(n)), y] -= 1
         d *= (places < n)[:, :, None] / n.sum()
         out = {"vf": np.tensordot(sf, d, ([0, 1], [0, 1])), "vb": np.tensordot(hb, d, ([0, 1], [0, 1])), "c": d.sum((0, 1))}
         d_back = np.where((places < n)[:, :, None], np.take_along_axis(d, at, 0), 0)
-        for name, rows, kept, err in (("f", ahead, kept_f, d @ p["vf"].T), ("b", back, kept_b, d_back @ p["vb"].T)):
-            u, gt, gu = p["u" + name], np.zeros_like(p["t" + name]), np.zeros_like(p["u" + name])
-            dh = np.zeros_like(err[0])
-            for i in range(len(kept) - 1, -1, -1):
-                was, mixed, z, r, new, live = kept[i]
-                dh = dh + err[i]
-                dn = dh * (1 - z) * (1 - new * new)
-                dz = dh * (was - new) * z * (1 - z)
+        for name, rows, err in (("f", lanes.bytes, d @ p["vf"].T), ("b", turned.bytes, d_back @ p["vb"].T)):
+            u, gu, dh, moves = p["u" + name], np.zeros_like(p["u" + name]), np.zeros_like(err[0]), []
+            for i in range(len(rows) - 1, -1, -1):
+                was, mixed, z, r, new = kept[name][i]
+                k = len(was)
+                dh += err[i]
+                own = dh[:k]
+                dn = own * (1 - z) * (1 - new * new)
+                dz = own * (was - new) * z * (1 - z)
                 dr = dn * mixed[:, 2 * HIDDEN :] * r * (1 - r)
-                dx = np.where(live, np.concatenate([dz, dr, dn], 1), 0)
-                dm = np.where(live, np.concatenate([dz, dr, dn * r], 1), 0)
-                np.add.at(gt, rows[:, i], dx)
+                moves.append((rows[i, :k], np.concatenate([dz, dr, dn], 1)))
+                dm = np.concatenate([dz, dr, dn * r], 1)
                 gu += was.T @ dm
-                dh = np.where(live, dh * z, dh) + dm @ u.T
-            out |= {"t" + name: gt, "u" + name: gu}
+                dh[:k] = own * z + dm @ u.T
+            at_bytes, dx = (np.concatenate(x) for x in zip(*moves, strict=True))
+            gt = np.column_stack([np.bincount(at_bytes, dx[:, j], 256) for j in range(dx.shape[1])])
+            out |= {"t" + name: gt.astype(u.dtype), "u" + name: gu}
         return out
 
 
-def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+def document_sums(net: BiGru, texts: list[bytes]) -> np.ndarray:
+    """For each text, the sum over its bytes of the label distributions."""
+    out = np.zeros((len(texts), len(net.languages)))
+    spans = [(min(CHUNK, len(t) - s), i, s) for i, t in enumerate(texts) for s in range(0, len(t), CHUNK)]
+    spans.sort(key=lambda x: -x[0])
+    for j in range(0, len(spans), LANES):
+        part = spans[j : j + LANES]
+        states = []
+        for d in "fb":
+            runs = [texts[i][max(0, s - CONTEXT) : s + n] if d == "f" else texts[i][s : s + n + CONTEXT][::-1] for n, i, s in part]
+            lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+            order = np.argsort(-lengths, kind="stable")
+            got = net.run(Lanes([runs[k] for k in order]), d)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            # The chunk's own bytes are the last of the run, in the direction's order.
+            own = np.fromiter((x[0] for x in part), np.int64, len(part))
+            at = np.arange(own[0])[:, None]
+            at = lengths - own + at if d == "f" else lengths - 1 - at
+            states.append(got[np.clip(at, 0, len(got) - 1), place])
+        p = net.labels(*states)
+        p[np.arange(own[0])[:, None] >= own] = 0
+        np.add.at(out, [i for _, i, _ in part], p.sum(0))
+    return out
+
+
+def stretches(rows: Iterable[dict], rng: np.random.Generator) -> Iterator[tuple[str, bytes]]:
+    """(language, bytes) at random places of each row's whole text."""
+    for r in rows:
+        raw = bytes_of(r["text"])
+        if _LETTER.search(r["text"] or ""):
+            for at in rng.integers(max(1, len(raw) - STRETCH + 1), size=min(STRETCHES, -(-len(raw) // STRETCH))).tolist():
+                yield r["lang"], raw[at : at + STRETCH]
 
 
-def train(rows: list, batch: int = 256, passes: int = 2, seed: int = 3) -> BiGru | None:
-    """The network from rows with text and lang, on at most WORDS_PER_LANGUAGE words of each language."""
+def train(rows: Iterable[dict], batch: int = 384, steps: int = 130, seed: int = 3) -> BiGru | None:
+    """The network from rows with text and lang; languages weigh the same."""
     rng = np.random.default_rng(seed)
     by: dict[str, list[bytes]] = {}
-    for r in rows:
-        by.setdefault(r["lang"], []).extend(w.encode("utf-8", "replace")[:MAX_BYTES] for w in words_of(r["text"] or ""))
-    languages = sorted(k for k, v in by.items() if v)
+    for lang, raw in stretches(rows, rng):
+        by.setdefault(lang, []).append(raw)
+    languages = sorted(by)
     if not languages:
         return None
-    words, y = [], []
-    for i, lang in enumerate(languages):
-        pick = rng.permutation(len(by[lang]))
-        if len(pick) < WORDS_PER_LANGUAGE:
-            pick = np.resize(pick, min(WORDS_PER_LANGUAGE, 8 * len(pick)))
-        pick = pick[:WORDS_PER_LANGUAGE]
-        words += [by[lang][j] for j in pick]
-        y += [i] * len(pick)
-    y = np.array(y)
     k = len(languages)
     params = {"c": np.zeros(k)}
     for d in "fb":
         params |= {"t" + d: rng.normal(0, 0.3, (256, 3 * HIDDEN)), "u" + d: rng.normal(0, HIDDEN**-0.5, (HIDDEN, 3 * HIDDEN)), "v" + d: rng.normal(0, 0.3, (HIDDEN, k))}
-    net = BiGru(languages, params)
-    first, second = ({q: np.zeros_like(v) for q, v in params.items()} for _ in range(2))
-    step = 0
-    total = passes * -(-len(words) // batch)
-    for _ in range(passes):
-        order = rng.permutation(len(words))
-        for i in range(0, len(order), batch):
-            part = order[i : i + batch]
-            step += 1
-            rate = 0.02 * (1 - step / (total + 1)) + 0.001
-            for q, g in net.gradient([words[j] for j in part], y[part]).items():
-                first[q] = 0.9 * first[q] + 0.1 * g
-                second[q] = 0.99 * second[q] + 0.01 * g * g
-                params[q] -= rate * (first[q] / (1 - 0.9**step)) / (np.sqrt(second[q] / (1 - 0.99**step)) + 1e-8)
-    net.params = {q: v.astype(np.float32) for q, v in params.items()}
+    net = BiGru(languages, {q: v.astype(np.float32) for q, v in params.items()})
+    first, second = ({q: np.zeros_like(v) for q, v in net.params.items()} for _ in range(2))
+    for step in range(1, steps + 1):
+        y = rng.integers(k, size=batch)
+        runs = [by[languages[i]][rng.integers(len(by[languages[i]]))] for i in y]
+        order = np.argsort([-len(x) for x in runs], kind="stable")
+        rate = 0.03 * (1 - step / (steps + 1)) + 0.001
+        for q, g in net.gradient([runs[i] for i in order], y[order]).items():
+            first[q] = 0.9 * first[q] + 0.1 * g
+            second[q] = 0.99 * second[q] + 0.01 * g * g
+            net.params[q] -= (rate * (first[q] / (1 - 0.9**step)) / (np.sqrt(second[q] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return net
 
 
-class _Sums:
-    """Label sums of words, in rows of a table; new words of a batch are labelled together."""
-
-    def __init__(self, net: BiGru):
-        self.net, self.rows, self.used = net, {}, 0
-        self.table = np.zeros((4096, len(net.languages) + 1), np.float32)
-
-    def add(self, words: set[str]) -> None:
-        if len(self.rows) + len(words) > CACHE_WORDS:
-            self.rows.clear()
-            self.used = 0
-        new = sorted(words - self.rows.keys())
-        pieces, owner = [], []
-        for i, w in enumerate(new):
-            raw = w.encode("utf-8", "replace")
-            for j in range(0, len(raw), MAX_BYTES):
-                pieces.append(raw[j : j + MAX_BYTES])
-                owner.append(i)
-        if not new:
-            return
-        sums = np.zeros((len(new), self.table.shape[1]), np.float32)
-        np.add.at(sums, owner, np.column_stack([self.net.word_sums(pieces), [len(x) for x in pieces]]).astype(np.float32))
-        while self.used + len(new) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used : self.used + len(new)] = sums
-        self.rows.update(zip(new, range(self.used, self.used + len(new)), strict=True))
-        self.used += len(new)
-
-
 def predict(docs: DataFrame, net: BiGru | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
-    cache = _Sums(net) if net else None
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [words_of(t or "") if net else [] for t in batch.column(1).to_pylist()]
-        names, scores = ["und"] * len(lists), np.zeros(len(lists))
-        if net:
-            todo: list[int] = []
-            fresh: set[str] = set()
-            for i in range(len(lists) + 1):
-                if todo and (i == len(lists) or len(fresh) > CACHE_WORDS // 8):
-                    cache.add(fresh)
-                    for j in todo:
-                        if words := lists[j]:
-                            total = cache.table[np.fromiter(map(cache.rows.__getitem__, words), np.int64, len(words))].sum(0, dtype=np.float64)
-                            p = total[:-1] / total[-1]
-                            names[j], scores[j] = net.languages[int(p.argmax())], float(min(p.max(), 1.0))
-                    todo, fresh = [], set()
-                if i < len(lists):
-                    todo.append(i)
-                    fresh.update(lists[i])
+        texts = batch.column(1).to_pylist()
+        names, scores = ["und"] * len(texts), np.zeros(len(texts))
+        if net and (at := [i for i, t in enumerate(texts) if t and _LETTER.search(t)]):
+            sums = document_sums(net, [bytes_of(texts[i]) for i in at])
+            p = sums / sums.sum(1, keepdims=True)
+            scores[at] = np.minimum(p.max(1), 1.0)
+            for i, best in zip(at, p.argmax(1).tolist(), strict=True):
+                names[i] = net.languages[best]
         return pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
     return mapped(docs.select("doc_id", "text"), one, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def fit(docs: DataFrame) -> BiGru | None:
-    """The network from a bounded sample of rows with a language whose crc32 of doc_id as text, modulo 4, is not 2."""
+def learning_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """(lang, h, doc_id, text): of each language at most so many rows, those with the smallest hashes.
+
+    Learnable: lang isn't NULL and crc32 of doc_id as text, modulo 4, is not 2. Rows are thinned by their hash before they are ranked.
+    """
     known = docs.select("doc_id", "text", "lang").filter("lang is not null").filter((id_text_crc("doc_id") % 4 != 2) | F.col("doc_id").isNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return None
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANGUAGE / r["count"]))])
-    hashed = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / F.lit(1 << 30)
-    picked = known.filter(hashed < F.try_element_at(share, F.col("lang"))).withColumn("h", hashed)
-    rows = picked.orderBy("h", "doc_id").limit(2 * PER_LANGUAGE * len(counts)).select("text", "lang").collect()
-    return train(rows)
+    counts = known.groupBy("lang").agg(F.count("*").alias("rows"))
+    h = F.xxhash64("doc_id", "text")
+    share = 2.0 * per_language / F.col("rows")
+    thinned = known.join(sized(counts), "lang").withColumn("h", h).filter(F.pmod("h", F.lit(1 << 30)) / F.lit(1 << 30) < share)
+    ranked = thinned.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text")))
+    return ranked.filter(F.col("n") <= per_language).select("lang", "h", "doc_id", "text")
+
+
+def fit(docs: DataFrame) -> BiGru | None:
+    """The network from learning_sample()."""
+    return trained(learning_sample(docs), ["lang", "h", "doc_id", "text"], train)

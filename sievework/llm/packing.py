@@ -1,27 +1,30 @@
 """Mixture-controlled packing of tokenised documents into fixed windows.
 
 Each source is a queue: the token ids of its documents, end to end, in the order of hashed buckets and ids. Windows are
-filled by deficit round-robin: before a window every queue is credited its share of the window (its part of all tokens),
-serves the whole tokens it is owed, and carries the rest as its deficit; tokens left over go to the queues with the
-largest deficits. After w windows queue q has served floor(w * window * tokens_q / tokens) ids or one more, so the state at
-any window follows in closed form from the totals, each task fills its own stretch of every queue, and deficits carry over
+filled by deficit round-robin: before a window every queue is credited its share of the window (its target, or its part of all
+tokens), serves the whole tokens it is owed, and carries the rest as its deficit; tokens left over go to the queues with the
+largest deficits. A queue that runs dry leaves its share to the others in proportion. The state at any window follows in
+closed form from totals and weights, so each task fills its own stretch of every queue, and deficits carry over
 windows and partitions alike. Documents are cut wherever a window ends; only the last window is padded.
 
-A queue needs at least one token a window. Sources with less share one queue, in the same order, and if that has less
-still it joins the smallest other queue; so there are at most as many queues as a window has tokens.
+A queue needs at least one token a window. Without targets, sources with less share one queue, in the same order, and if that
+has less still it joins the smallest other queue; so there are at most as many queues as a window has tokens.
 
 Tokens come from a public vocabulary that lower-cases and splits at white space, so the ids of a text are those of its
 words, and a task encodes each distinct word once.
 
 Defined results: NULL counts as the empty text, whose only id is the end id. A NULL source is a source. Repeated rows are
-documents of their own. An empty table stays empty.
+documents of their own. An empty table stays empty. Other columns are not read. Ids are kept in 16 bits; a vocabulary with a
+larger id is refused.
 """
 
 from __future__ import annotations
 
+import bisect
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +69,8 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(self.path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{self.path}: ids beyond 16 bits")
         self.model = self.tokenizer.model
 
     def _whole(self, text: str) -> bytes:
@@ -109,20 +114,40 @@ class WordIds(dict):
 
 
 class Schedule:
-    """The closed form of deficit round-robin over queues with given totals."""
+    """The closed form of deficit round-robin over queues with given totals and weights (the totals themselves where none are given).
 
-    def __init__(self, totals: list[int], window: int = WINDOW):
+    While all queues last, a queue's part of the ids is its weight's part of all weights; a queue that runs dry leaves its part to
+    the others. So queue q has given min(total_q, level * weight_q) when the level is such that these amounts add up, which
+    holds for every count of ids, whatever was served before. Amounts are exact fractions, rounded to whole ids.
+    """
+
+    def __init__(self, totals: list[int], window: int = WINDOW, weights: list[int] | None = None):
         self.totals, self.window, self.all = totals, window, sum(totals)
+        self.weights = weights or totals
+        # Queues in the order in which they run dry: the level, the ids of all queues up to there, the weight that lasts beyond.
+        order = sorted(range(len(totals)), key=lambda q: Fraction(totals[q], self.weights[q]))
+        self.steps: list[tuple[Fraction, Fraction, int]] = [(Fraction(0), Fraction(0), sum(self.weights))]
+        for q in order:
+            level, ids, weight = self.steps[-1]
+            dry = Fraction(totals[q], self.weights[q])
+            self.steps.append((dry, ids + (dry - level) * weight, weight - self.weights[q]))
         self._served: dict[int, list[int]] = {}
         self._offsets: dict[int, list[int]] = {}
 
+    def level(self, ids: int) -> Fraction:
+        at = bisect.bisect_right(self.steps, ids, key=lambda s: s[1]) - 1
+        level, before, weight = self.steps[at]
+        return level + (ids - before) / weight if weight else level
+
     def served(self, w: int) -> list[int]:
         """Ids that each queue has given before window w."""
         if (got := self._served.get(w)) is None:
             if len(self._served) > 20_000:
                 self._served.clear()
             at = min(w * self.window, self.all)
-            whole, rest = zip(*(divmod(at * t, self.all) for t in self.totals), strict=True)
+            level = self.level(at)
+            top, bottom = level.numerator, level.denominator
+            whole, rest = zip(*(divmod(min(t * bottom, wt * top), bottom) for t, wt in zip(self.totals, self.weights, strict=True)), strict=True)
             got = list(whole)
             for q in sorted(range(len(rest)), key=lambda q: (-rest[q], q))[: at - sum(whole)]:
                 got[q] += 1
@@ -142,7 +167,9 @@ class Schedule:
         return got
 
     def window_of(self, q: int, place: int) -> int:
-        w = place * self.all // (self.window * self.totals[q])
+        level = Fraction(place, self.weights[q])
+        at = bisect.bisect_right(self.steps, level, key=lambda s: s[0]) - 1
+        w = int((self.steps[at][1] + (level - self.steps[at][0]) * self.steps[at][2]) // self.window)
         while w and self.served(w)[q] > place:
             w -= 1
         while self.served(w + 1)[q] <= place:
@@ -172,8 +199,47 @@ def tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
     return mapped(docs.select("doc_id", "text", "source"), one, f"doc_id {kinds['doc_id']}, source {kinds['source']}, n long, ids binary")
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue[, ids]), a row a piece."""
+def _sorted(rows: list) -> list[tuple]:
+    return sorted(((r["source"], r["tokens"]) for r in rows), key=lambda x: (x[0] is None, x[0] or ""))
+
+
+def _own_shares(by_source: DataFrame, total: int, window: int) -> tuple[list[tuple], list[int], None, int]:
+    """Sources with a queue of their own, tokens of all queues, no weights, and the queue of all other sources.
+
+    At most `window` sources can have a token in each window, so the list is bounded.
+    """
+    large = _sorted(by_source.filter(F.col("tokens") * window >= total).collect())
+    totals = [t for _, t in large]
+    rest = total - sum(totals)
+    other = len(totals)
+    if rest * window >= total:
+        totals.append(rest)
+    elif rest:
+        other = min(range(len(totals)), key=lambda q: (totals[q], q))
+        totals[other] += rest
+    return large, totals, None, other
+
+
+def _target_shares(by_source: DataFrame, targets: dict[str | None, int], window: int) -> tuple[list[tuple], list[int], list[int], int]:
+    """As _own_shares, with a queue for each named source and one, of weight 1, for all others."""
+    if any(w < 1 for w in targets.values()) or sum(targets.values()) >= window:
+        raise ValueError("targets are whole numbers from 1 that add up to less than a window")
+    named = F.array(*[F.lit(s) for s in targets if s is not None]).cast("array<string>")
+    chosen = F.coalesce(F.array_contains(named, F.col("source").cast("string")), F.lit(None in targets))
+    large = _sorted(by_source.filter(chosen).collect())
+    totals, weights, other = [t for _, t in large], [targets[s] for s, _ in large], len(large)
+    if rest := by_source.filter(~chosen).agg(F.sum("tokens")).first()[0]:
+        totals.append(rest)
+        weights.append(1)
+    return large, totals, weights, other
+
+
+def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, with_ids: bool = False, targets: dict[str | None, int] | None = None) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue[, ids]), a row a piece.
+
+    targets: whole weights by source (1 where a source isn't named), at most a window's tokens in all; without them a source
+    weighs what it has, so that every window holds the corpus's own proportions and no queue runs dry before the end.
+    """
     spark = docs.sparkSession
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int" + ", ids binary" * with_ids
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -182,17 +248,11 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, wi
     total = table.agg(F.sum("n")).first()[0] or 0
     if not total:
         return spark.createDataFrame([], schema)
-    # At most `window` sources can have a token in each window, so this list is bounded.
     by_source = table.groupBy("source").agg(F.sum("n").alias("tokens"))
-    large = sorted(((r["source"], r["tokens"]) for r in by_source.filter(F.col("tokens") * window >= total).collect()), key=lambda x: (x[0] is None, x[0] or ""))
-    totals = [t for _, t in large]
-    rest = total - sum(totals)
-    other = len(totals)
-    if rest * window >= total:
-        totals.append(rest)
-    elif rest:
-        other = min(range(len(totals)), key=lambda q: (totals[q], q))
-        totals[other] += rest
+    if targets is None:
+        large, totals, weights, other = _own_shares(by_source, total, window)
+    else:
+        large, totals, weights, other = _target_shares(by_source, targets, window)
     names = spark.createDataFrame([(s, q) for q, (s, _) in enumerate(large)], f"_source {docs.schema['source'].dataType.simpleString()}, _queue int")
     queued = table.join(F.broadcast(names), table["source"].eqNullSafe(names["_source"]), "left").withColumn("queue", F.coalesce("_queue", F.lit(other)))
 
@@ -203,7 +263,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, wi
     stream = queued.select("bucket", F.lit(1).alias("kind"), "doc_id", "queue", "n", "ids", F.lit(None).cast("array<struct<queue:int,base:bigint>>").alias("bases")).unionByName(
         heads.select("bucket", F.lit(0).alias("kind"), F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("int").alias("queue"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("ids"), "bases")
     )
-    schedule = Schedule(totals, window)
+    schedule = Schedule(totals, window, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: dict[int, int] = {}
@@ -217,7 +277,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, wi
             out.clear()
             return pa.record_batch(arrays, [n.strip().split(" ")[0] for n in schema.split(",")])
 
-        for batch in batches:
+        for batch in small_batches(batches):
             _, kinds, doc_ids, queues, sizes, ids, bases = (batch.column(i).to_pylist() for i in range(7))
             for kind, doc_id, q, n, raw, base in zip(kinds, doc_ids, queues, sizes, ids, bases, strict=True):
                 if not kind:
@@ -232,6 +292,5 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, wi
             if out:
                 yield flush(batch.schema.field(2).type)
 
-    small_batches(spark)
     ordered = stream.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind", "doc_id", F.xxhash64("ids"))
     return ordered.mapInArrow(run, schema)

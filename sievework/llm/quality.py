@@ -7,17 +7,19 @@ from document labels alone by Adam on exact gradients.
 
 Defined results: NULL and empty texts have no passage and score as the zero representation. With no labelled rows of
 either class every score is 1, so that nothing is rejected. Repeated rows are scored each; other columns are not read.
+Texts of any length are scored whole; common.LONGEST_ROW and CLASS_CHARS bound what is learned from.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sievework.llm.common import CACHE_WORDS, labelled_sample, mapped, texts_of
+from sievework.llm.common import CACHE_WORDS, fitting, labelled_sample, mapped, texts_of, trained
 
 PER_CLASS = {0: 2500, 1: 3500}
 PASSAGE = 48
@@ -39,7 +41,7 @@ def word_row(word: str) -> np.ndarray:
         min(n, 40) / 10, n > 20, upper > 1 and upper == letters, letters == 0, digits > 0,
         min(n - letters - digits, 8) / 4, word[-1] in ".!?", letters > 0 and word[0].isupper(), letters / n,
     )
-    shape = _RUNS.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:200]))
+    shape = _RUNS.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
     h = 2166136261
     for c in shape:
         h = (h ^ ord(c)) * 16777619 & 0xFFFFFFFF
@@ -137,10 +139,13 @@ class Mil:
         return np.ones(len(counts)) if self.params is None else self.forward(x, counts)["score"]
 
 
-def train(rows: list, epochs: int = 14, seed: int = 5) -> Mil:
+def train(rows: Iterable[dict], epochs: int = 14, seed: int = 5) -> Mil:
     """The model from rows with text and y."""
-    x, counts = encode(_Words(), [r["text"] for r in rows])
-    y = np.array([float(r["y"] == 1) for r in rows])
+    cache, parts, y = _Words(), [encode(_Words(), [])], []
+    for r in rows:
+        parts.append(encode(cache, [r["text"]]))
+        y.append(float(r["y"] == 1))
+    x, counts, y = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.array(y)
     if not len(x) or y.min() == y.max():
         return Mil(np.zeros(DIMS), np.ones(DIMS), None)
     rng = np.random.default_rng(seed)
@@ -190,4 +195,4 @@ def keep_good(docs: DataFrame, mil: Mil, threshold: float = 0.5) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] | None = None) -> Mil:
     """The model from a bounded sample of learnable labelled rows (per_class rows of each class at most)."""
-    return train(labelled_sample(docs, labels, "quality", per_class or PER_CLASS))
+    return trained(labelled_sample(docs, labels, "quality", per_class or PER_CLASS), ["h", "doc_id"], lambda rows: train(fitting(rows)))

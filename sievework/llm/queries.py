@@ -57,7 +57,7 @@ def op10_sharding(spark, sf_dir):
 
 
 QUERIES |= {"op2_mixing": op2_mixing, "op6_topk": op6_topk, "op7_fingerprints": op7_fingerprints, "op9_chat": op9_chat, "op10_sharding": op10_sharding}
-ORACLE_SQL |= {"op2_mixing": mixing.ORACLE, "op6_topk": topk.ORACLE, "op9_chat": chat.ORACLE}
+ORACLE_SQL |= {"op2_mixing": mixing.ORACLE, "op6_topk": topk.ORACLE, "op9_chat": chat.ORACLE, "op10_sharding": sharding.ORACLE}
 
 
 def op3_jaccard(spark, sf_dir):

@@ -8,16 +8,25 @@ dimensions prunes files by their minima and maxima.
 The order within a cell is that of a hash of the document, so a cell of any number of rows is dealt over sub-buckets
 and no task orders more than a bounded share. Ranks come from counts by cell and sub-bucket.
 
+Copies of a text have places of their own: the law `rows` holds a shard to 1/SHARDS of all rows, while a group of equal texts may be
+larger than that, so equal texts are not kept in one shard (of one size, source and language they share a cell of the curve, and
+so neighbouring shards).
+
+Sources and languages are ranked in one task each, which holds a row for each distinct value.
+
 Defined results: a NULL text has 8 bytes and CRC 0; NULL sources and languages take the last code. Repeated rows get slots
-of their own. An empty table stays empty.
+of their own; a NULL doc_id is hashed as such. An empty table stays empty. Very long texts count whole. Other columns are not
+read; write_shards() writes them as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import sized, written
+from sievework.llm.common import columns_of, free_name, sized, written
 
 BITS = 4
 DIMENSIONS = 3
@@ -25,6 +34,8 @@ SHARDS = 24
 #: Rows that one sub-bucket of a cell should hold at most, and the most sub-buckets of a cell.
 BUCKET_ROWS = 20_000
 MIN_SUB, MAX_SUB = 64, 65_536
+#: Rows of a file of a shard.
+FILE_ROWS = 1_000_000
 
 
 def hilbert_steps(bits: int = BITS, n: int = DIMENSIONS) -> list[tuple[int, int]]:
@@ -71,10 +82,17 @@ def _codes(rows: DataFrame, column: str) -> DataFrame:
     return values.select(F.col(column).alias(f"_{column}"), scaled.cast("int").alias(f"_{column}_code"))
 
 
-def placed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, curve, shard, slot) of every row."""
+def fine_hash(doc_id: Column, crc: Column, size: Column) -> Column:
+    """A hash of a document, below 2^60: the first 15 hexadecimal digits of an MD5."""
+    text = F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("null")), crc.cast("string"), size.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def placed(docs: DataFrame, shards: int = SHARDS, whole: bool = False) -> DataFrame:
+    """(doc_id, size, text_crc32, curve, shard, slot[, row]) of every row; whole adds the row itself as a struct."""
     body = F.coalesce("text", F.lit("")).cast("binary")
-    rows = written(docs.select("doc_id", (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), "source", "lang"))
+    row = [F.struct(*columns_of(docs)).alias("row")] if whole else []
+    rows = written(docs.select("doc_id", (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), "source", "lang", *row))
     coded = rows
     for c in ("source", "lang"):
         codes = sized(written(_codes(rows, c)))
@@ -82,11 +100,11 @@ def placed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     size_code = F.least(F.greatest(F.floor(F.log2("size")) - 3, F.lit(0)), F.lit((1 << BITS) - 1)).cast("int")
     total = rows.count()
     sub_count = max(MIN_SUB, min(MAX_SUB, total // BUCKET_ROWS))
-    fine = F.xxhash64("doc_id", "text_crc32", "size")
+    carried = ["row"] if whole else []
     keyed = coded.select(
         "doc_id", "size", "text_crc32", hilbert_index(F.array(size_code, F.col("_source_code"), F.col("_lang_code"))).alias("curve"),
-        F.pmod(fine, F.lit(sub_count)).cast("int").alias("sub"), fine.alias("fine"),
-    )
+        fine_hash(F.col("doc_id"), F.col("text_crc32"), F.col("size")).alias("fine"), *carried,
+    ).withColumn("sub", F.pmod("fine", F.lit(sub_count)).cast("int"))
     keyed = written(keyed)
     counts = keyed.groupBy("curve", "sub").agg(F.count("*").alias("n"))
     cells = counts.groupBy("curve").agg(F.sum("n").alias("cell_n"))
@@ -98,7 +116,7 @@ def placed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     place = ranked.join(bases, ["curve", "sub"]).withColumn("g", F.col("base") + F.col("rank"))
     shard = F.expr(f"g * {shards} div {max(total, 1)}")
     start = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
-    return place.withColumn("shard", shard.cast("int")).select("doc_id", "size", "text_crc32", "curve", "shard", (F.col("g") - start).alias("slot"))
+    return place.withColumn("shard", shard.cast("int")).select("doc_id", "size", "text_crc32", "curve", "shard", (F.col("g") - start).alias("slot"), *carried)
 
 
 def report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -106,8 +124,56 @@ def report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return placed(docs, shards).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """docs, all columns, as one Parquet folder a shard, rows in curve order; for tables whose doc_id is unique."""
-    place = placed(docs, shards).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = docs.join(place, docs["doc_id"].eqNullSafe(place["_id"])).drop("_id")
-    joined.repartition(F.col("_shard"), F.col("_slot") % 1).sortWithinPartitions("_shard", "_slot").drop("_slot").write.partitionBy("_shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, rows_per_file: int = FILE_ROWS) -> str:
+    """docs, all columns, as a Parquet folder for each shard, in files of so many rows in curve order; the folders' column is returned.
+
+    Rows travel with their place, so repeated rows and ids stay what they are.
+    """
+    name = free_name(docs, "_shard")
+    place = placed(docs, shards, whole=True).select("row", "shard", "slot", F.floor(F.col("slot") / rows_per_file).alias("file"))
+    ordered = place.repartition("shard", "file").sortWithinPartitions("shard", "slot")
+    own = [F.col("row.`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns]
+    ordered.select(*own, F.col("shard").alias(name)).write.option("maxRecordsPerFile", rows_per_file).partitionBy(name).parquet(path)
+    return name
+
+
+def hilbert_cell(axes: list[int], bits: int = BITS) -> int:
+    """hilbert_index() of one cell in plain Python, for the oracle."""
+    x, n = list(axes), len(axes)
+    for q, i in hilbert_steps(bits, n):
+        if x[i] & q:
+            x[0] ^= q - 1
+        else:
+            swap = (x[0] ^ x[i]) & (q - 1)
+            x[0] ^= swap
+            x[i] ^= swap
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    fix = 0
+    for b in range(bits - 1, 0, -1):
+        if x[-1] >> b & 1:
+            fix ^= (1 << b) - 1
+    return int("".join(str((v ^ fix) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+_SIDE = 1 << BITS
+_CURVE = [hilbert_cell([i // _SIDE // _SIDE, i // _SIDE % _SIDE, i % _SIDE]) for i in range(_SIDE**3)]
+_CODE = f"""least(floor((row_number() OVER (ORDER BY {{0}} IS NULL, {{0}}) - 1) * {_SIDE} / greatest(count(*) OVER (), {_SIDE})), {_SIDE - 1})::INT AS {{0}}_code
+  FROM (SELECT DISTINCT {{0}} FROM documents)"""
+#: CRC-32 in SQL: the table of the polynomial is generated, and bytes come from the text's hexadecimal form.
+_CRC_TABLE = [functools.reduce(lambda c, _: (c >> 1) ^ (0xEDB88320 if c & 1 else 0), range(8), i) for i in range(256)]
+ORACLE = f"""
+WITH b AS (SELECT doc_id, source, lang, hex(encode(coalesce(text, ''))) AS h FROM documents),
+d AS (SELECT doc_id, source, lang, length(h) // 2 + 8 AS size,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+    lambda c, x: xor(c >> 8, ({_CRC_TABLE}::BIGINT[])[xor(c & 255, x) + 1])), 4294967295::BIGINT) AS text_crc32 FROM b),
+s AS (SELECT source, {_CODE.format("source")}),
+l AS (SELECT lang, {_CODE.format("lang")}),
+k AS (SELECT doc_id, size, text_crc32, ({_CURVE}::INT[])[(least(greatest(floor(log2(size)) - 3, 0), {_SIDE - 1}) * {_SIDE**2} + source_code * {_SIDE} + lang_code)::INT + 1] AS curve,
+  ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, 'null'), text_crc32::VARCHAR, size::VARCHAR)), 1, 15))::BIGINT AS fine
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source JOIN l ON d.lang IS NOT DISTINCT FROM l.lang),
+t AS (SELECT count(*) AS total FROM documents),
+g AS (SELECT *, row_number() OVER (ORDER BY curve, fine % greatest({MIN_SUB}, least({MAX_SUB}, total // {BUCKET_ROWS})), fine, doc_id NULLS FIRST, text_crc32, size) - 1 AS g FROM k, t),
+p AS (SELECT *, (g * {SHARDS} // total)::INT AS shard FROM g)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, shard, (g - (shard * total + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard, curve FROM p
+"""

@@ -9,10 +9,13 @@ candidates are never moved.
 In a task only the bins that hold its own k best scores count: the global kth score is at least a task's kth, so a lower
 bin can't hold it. For the same reason the last pass returns at most k rows for each query and task.
 
-Vectors are integers floor(256 x). Products are exact: in double precision while the sums stay below 2^53, else in Python
-integers. Defined results: vectors that are NULL, or hold NULL or non-finite components, or have a NULL vec_id, take no
-part. A query of another length than a candidate isn't compared with it. Repeated rows are candidates of their own; a
-query id repeated with other vectors is asked with the smallest. A score beyond 64 bits wraps.
+Vectors are integers floor(256 x), of any size. Products are exact: in double precision while the sums stay below 2^53, else in
+Python integers. The work is queries times candidates.
+
+Defined results: vectors that are NULL, or hold NULL or non-finite components, or have a NULL vec_id, take no part. A query of
+another length than a candidate isn't compared with it. Repeated rows are candidates of their own; a query id repeated
+with other vectors is asked with the smallest. A score beyond 64 bits counts as the nearest one within, and such scores tie.
+Other columns are not read. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -24,24 +27,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import small_batches, written
+from sievework.llm.common import new_table, small_batches, written
 
 SCALE = 256
 BINS = 4096
 BLOCK = 8_192
 #: Candidates scored at once.
 STEP = 256
+#: The largest score; the least is its negative.
+MOST = (1 << 63) - 1
 
 
-def quantised(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v array<long>) of the rows that take part."""
+def usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v array<double>) of the rows that take part."""
     x = F.transform("embedding", lambda e: e.cast("double"))
-    whole = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(3.0e16)))
-    return vectors.filter("vec_id is not null and embedding is not null").withColumn("_x", x).filter(whole & F.forall("_x", lambda e: e.isNotNull())).select("vec_id", F.transform("_x", lambda e: F.floor(e * SCALE)).alias("v"))
+    whole = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != F.lit(float("inf"))))
+    return vectors.filter("vec_id is not null and embedding is not null").select("vec_id", x.alias("v")).filter(whole)
+
+
+def quantised(x: np.ndarray) -> np.ndarray:
+    """floor(256 x): 64-bit integers, or Python integers where one would not be exact in double precision."""
+    if not x.size or np.abs(x).max() < 1 << 44:
+        return np.floor(x * SCALE).astype(np.int64)
+    # From 2^44 on a double times 256 is whole.
+    return np.vectorize(lambda e: int(e * SCALE // 1) if abs(e) < 1 << 44 else SCALE * e.as_integer_ratio()[0] // e.as_integer_ratio()[1], otypes=[object])(x)
+
+
+def largest_of(v: np.ndarray) -> int:
+    return max(abs(int(v.min())), abs(int(v.max()))) if v.size else 0
 
 
 class Queries:
-    """A block of queries: ids, vectors by length."""
+    """A block of queries: ids, quantised vectors by length."""
 
     def __init__(self, rows: list):
         self.ids = np.array([r["vec_id"] for r in rows], np.int64)
@@ -50,17 +67,16 @@ class Queries:
         for i, r in enumerate(rows):
             by.setdefault(len(r["v"]), []).append(i)
         for width, at in by.items():
-            self.groups[width] = (np.array(at), np.array([rows[i]["v"] for i in at], np.int64).reshape(len(at), width))
-        self.largest = {w: max((abs(int(x)) for x in (m.min(), m.max())), default=0) if m.size else 0 for w, (_, m) in self.groups.items()}
+            self.groups[width] = (np.array(at), quantised(np.array([rows[i]["v"] for i in at], np.float64).reshape(len(at), width)))
+        self.largest = {w: largest_of(m) for w, (_, m) in self.groups.items()}
 
 
 def exact_product(q: np.ndarray, c: np.ndarray, largest: int) -> np.ndarray:
-    """Integer inner products of rows of q with rows of c."""
-    other = max(abs(int(c.min())), abs(int(c.max()))) if c.size else 0
-    if largest * other * max(q.shape[1], 1) < 1 << 53:
+    """Integer inner products of rows of q with rows of c, held within 64 bits."""
+    if largest * largest_of(c) * max(q.shape[1], 1) < 1 << 53:
         return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
     exact = q.astype(object) @ c.T.astype(object)
-    return np.vectorize(lambda v: (int(v) + (1 << 63)) % (1 << 64) - (1 << 63), otypes=[np.int64])(exact)
+    return np.vectorize(lambda v: min(max(int(v), -MOST), MOST), otypes=[np.int64])(exact)
 
 
 def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -72,7 +88,7 @@ def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.
     ends = np.cumsum(n)
     for i in range(0, len(ok), STEP):
         part = ok[i : i + STEP]
-        yield ids[part], flat[(ends[part] - width)[:, None] + np.arange(width)]
+        yield ids[part], quantised(flat[(ends[part] - width)[:, None] + np.arange(width)])
 
 
 def _own_best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,16 +109,17 @@ def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[n
     return q[keep], ids[keep], scores[keep]
 
 
-def _scored_best(cands: DataFrame, block: Queries, k: int, floor: np.ndarray) -> DataFrame:
-    """(query_id, vec_id, score): for each task the k best of every query, of scores that reach the query's floor."""
-    spark = cands.sparkSession
-    shared = spark.sparkContext.broadcast((block, floor))
+def _scored_best(cands: DataFrame, asked, k: int, shared) -> DataFrame:
+    """(query_id, vec_id, score): for each task the k best of every query, of scores that reach the query's floor.
+
+    asked, shared: broadcasts of the block and of the floors.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, floor = shared.value
+        block, floor = asked.value, shared.value
         held = (np.zeros(0, np.int64),) * 3
         waiting: list[tuple] = []
-        for batch in batches:
+        for batch in small_batches(batches, 4096):
             for width, (at, q) in block.groups.items():
                 for ids, rows in _blocks(batch, width):
                     place, found, scores = _own_best(exact_product(q, rows, block.largest[width]), ids, block.ids[at], k)
@@ -128,19 +145,18 @@ def _best_bins(key: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return key[keep], n[keep]
 
 
-def _histograms(cands: DataFrame, block: Queries, k: int, low: np.ndarray, width: np.ndarray) -> DataFrame:
+def _histograms(cands: DataFrame, asked, k: int, shared) -> DataFrame:
     """(place, bin, n): each query's scores counted by bin, from each task the best bins down to its kth score.
 
     Bins are numbered up from low, each so wide as the query's width; scores above the range count in bin BINS, scores
-    below it don't count.
+    below it don't count. asked, shared: broadcasts of the block and of (low, width).
     """
-    shared = cands.sparkSession.sparkContext.broadcast((block, low, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, low, width = shared.value
+        block, (low, width) = asked.value, shared.value
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         waiting: list[tuple] = []
-        for batch in batches:
+        for batch in small_batches(batches, 4096):
             for w, (at, q) in block.groups.items():
                 for ids, rows in _blocks(batch, w):
                     scores = exact_product(q, rows, block.largest[w])
@@ -159,42 +175,49 @@ def _histograms(cands: DataFrame, block: Queries, k: int, low: np.ndarray, width
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best rows of vectors but its own, ties to the smaller vec_id."""
+    """(query_id, rank, vec_id, score): each query's k best rows of vectors but its own, ties to the smaller vec_id.
+
+    Each block's result is written before the next block begins, so the plan stays as small as for one block.
+    """
     spark = vectors.sparkSession
-    small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
-    cands = quantised(vectors)
-    asked = written(quantised(queries).groupBy("vec_id").agg(F.min("v").alias("v")))
+    cands = usable(vectors)
+    asked = written(usable(queries).groupBy("vec_id").agg(F.min("v").alias("v")))
     n = asked.count()
+    schema = "query_id long, vec_id long, score long"
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     blocks = max(1, -(-n // BLOCK))
     asked = asked.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    peak = cands.agg(F.max(F.array_max(F.transform("v", F.abs))).alias("m"), F.max(F.size("v")).alias("d")).first() if n else None
-    out = None
-    for b in range(blocks if n else 0):
+    peak = cands.agg(F.max(F.array_max(F.transform("v", F.abs))).alias("m"), F.max(F.size("v")).alias("d")).first()
+    most = SCALE * (int(peak["m"] or 0) + 1)
+    path = new_table(spark)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    for b in range(blocks):
         rows = asked.filter(F.col("b") == b).select("vec_id", "v").collect()
-        if not rows:
-            continue
         block = Queries(rows)
-        floors = _kth_scores(cands, block, k, int(peak["m"] or 0) * max(block.largest.values()) * int(peak["d"] or 0))
-        part = _scored_best(cands, block, k, floors)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return out.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        held = spark.sparkContext.broadcast(block)
+        floors = spark.sparkContext.broadcast(_kth_scores(cands, block, held, k, most * max(block.largest.values(), default=0) * int(peak["d"] or 0)))
+        best = _scored_best(cands, held, k, floors).withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k)
+        best.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+        held.destroy()
+        floors.destroy()
+    return spark.read.schema(schema + ", rank int").parquet(path).select("query_id", "rank", "vec_id", "score")
 
 
-def _kth_scores(cands: DataFrame, block: Queries, k: int, bound: int) -> np.ndarray:
+def _kth_scores(cands: DataFrame, block: Queries, held, k: int, bound: int) -> np.ndarray:
     """Each query's kth best score by refinement of histograms; a lower bound of all scores where there are fewer than k."""
     n = len(block.ids)
-    bound = min(bound, (1 << 63) - 1)
+    bound = min(bound, MOST)
     low = np.full(n, -bound, np.int64)
     width = np.full(n, max(1, -(-(2 * bound + 1) // BINS)), np.int64)
     best = Window.partitionBy("place").orderBy(F.desc("bin"))
     alone = Window.partitionBy("place")
     while True:
-        counted = _histograms(cands, block, k, low, width).withColumn("upto", F.sum("n").over(best)).withColumn("all", F.sum("n").over(alone))
+        shared = cands.sparkSession.sparkContext.broadcast((low, width))
+        counted = _histograms(cands, held, k, shared).withColumn("upto", F.sum("n").over(best)).withColumn("all", F.sum("n").over(alone))
         hit = counted.filter((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k) & (F.col("all") >= k)).select("place", "bin").collect()
+        shared.destroy()
+        low = low.copy()
         for r in hit:
             low[r["place"]] = int(low[r["place"]]) + r["bin"] * int(width[r["place"]])
         if not hit or width.max() == 1:

@@ -64,8 +64,9 @@ def corpus(seed, n=260):
     return rows
 
 
-@pytest.mark.parametrize(("k", "num", "den", "members", "bits"), [(3, 90, 100, 1024, 16), (5, 80, 100, 7, 8), (2, 60, 100, 3, 12), (3, 100, 100, 50, 8)])
-def test_join_matches_brute_force(spark, monkeypatch, k, num, den, members, bits):
+@pytest.mark.parametrize(("k", "num", "den", "members", "bits", "most"), [(3, 90, 100, 1024, 16, 4096), (5, 80, 100, 7, 8, 2), (2, 60, 100, 3, 12, 4), (3, 100, 100, 50, 8, 4096)])
+def test_join_matches_brute_force(spark, monkeypatch, k, num, den, members, bits, most):
+    monkeypatch.setattr(jaccard, "LIST_ROWS", most)
     monkeypatch.setattr(jaccard, "MEMBERS", members)
     monkeypatch.setattr(jaccard, "SKETCH_BITS", bits)
     monkeypatch.setattr(jaccard, "LIST_BLOCK", 3)
@@ -87,6 +88,52 @@ def test_one_of_each_keeps_one_row_of_a_component(spark, monkeypatch):
     assert jaccard.one_of_each(df.limit(0)).collect() == [] and jaccard.join(df.limit(0)).collect() == []
 
 
+def test_many_null_and_repeated_ids(spark, monkeypatch):
+    """Half of the rows have no id, the others three ids between them; every text is judged by itself."""
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 12)
+    rows = [(None if i % 2 else i % 3, *r[1:]) for i, r in enumerate(corpus(4, 160))]
+    got = Counter(map(tuple, jaccard.join(spark.createDataFrame(rows, DOC).repartition(5), 3, 80, 100).collect()))
+    assert got == brute(rows, 3, 80, 100)
+    only = [(None, *r[1:]) for r in rows]
+    got = Counter(map(tuple, jaccard.join(spark.createDataFrame(only, DOC).repartition(5), 3, 80, 100).collect()))
+    assert got == brute(only, 3, 80, 100) and any(n for *_, n in got)
+
+
+def test_one_of_each_judges_texts_apart(spark, monkeypatch):
+    """Texts that share an id are kept or dropped by themselves; names with dots and clashing names pass through."""
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 10)
+    a, b, c = ("a b c d e f g h", "q r s t u v w x y", "k l m n o p")
+    rows = [(1, a, 0), (2, a, 1), (2, b, 2), (2, b, 3), (None, c, 4), (None, c, 5), (None, None, 6), (3, "", 7), (3, "", 8)]
+    df = spark.createDataFrame([(i, t, n, "x", 1) for i, t, n in rows], "doc_id long, text string, `a.b` int, _seal string, node int")
+    kept = jaccard.one_of_each(df)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got) == sorted([(False, 1, a), (False, 2, b), (True, 0, c), (True, 0, ""), (False, 3, ""), (False, 3, "")])
+
+
+def test_a_long_list_is_scanned_in_runs():
+    """A list of 20,000 entries without links, cut into runs: pairs of runs whose sizes exclude a link are left out, the rest finds all."""
+    import time
+
+    rng = np.random.default_rng(0)
+    e = np.zeros(20_000, jaccard.POSTING)
+    e["n"], e["p"], e["d"] = np.sort(rng.integers(50, 1500, len(e))), 0, np.arange(len(e))
+    e["b"] = rng.integers(0, 1 << 63, (len(e), 8), dtype=np.uint64)
+    e["b"][1::1000] = e["b"][::1000]
+    e["n"][1::1000] = e["n"][::1000]
+    pairs = list(jaccard.run_pairs(e, 1000, 90, 100))
+    assert len(pairs) < 20 * 21 // 4
+    forest, slowest = jaccard.Forest(), 0.0
+    for a, b in pairs:
+        began = time.process_time()
+        if a is b or a["d"][0] == b["d"][0]:
+            jaccard.scan_list(a, forest, 90, 100)
+        else:
+            jaccard.scan_list(np.concatenate([a, b]), forest, 90, 100, split=len(a))
+        slowest = max(slowest, time.process_time() - began)
+    assert {forest.find(i + 1) for i in range(0, 20_000, 1000)} == set(range(0, 20_000, 1000)) and slowest < 20
+
+
 def test_short_column_equals_short(spark):
     from pyspark.sql import functions as F
 
@@ -136,6 +183,47 @@ def test_schedule_serves_by_deficit():
         assert s.served(windows) == totals
 
 
+def test_schedule_with_targets_lets_dry_queues_go():
+    """Against a round-robin that credits weights ids by id: the state of each window, and every id in exactly one place."""
+    rng = random.Random(2)
+    for _ in range(60):
+        window = rng.choice([16, 32])
+        n = rng.randint(1, 4)
+        totals, weights = [rng.randint(1, 400) for _ in range(n)], [rng.randint(1, 3) for _ in range(n)]
+        s = packing.Schedule(totals, window, weights)
+        windows = -(-s.all // window)
+        assert s.served(0) == [0] * n and s.served(windows) == totals
+        fluid = [0.0] * n  # credits in small steps, a dry queue's part going to the others
+        for w in range(windows):
+            left = min(window, s.all - w * window)
+            while left > 1e-9:
+                live = [q for q in range(n) if totals[q] - fluid[q] > 1e-9]
+                step = min([left / sum(weights[q] for q in live), *((totals[q] - fluid[q]) / weights[q] for q in live)])
+                for q in live:
+                    fluid[q] += step * weights[q]
+                left -= step * sum(weights[q] for q in live)
+            a, b = s.served(w), s.served(w + 1)
+            assert all(abs(x - y) < 1 + 1e-6 for x, y in zip(b, fluid)) and all(x <= y for x, y in zip(a, b))
+        for q in range(n):
+            for place in range(0, totals[q], 7):
+                w = s.window_of(q, place)
+                assert s.served(w)[q] <= place < s.served(w + 1)[q]
+
+
+def test_pack_to_targets(spark):
+    rows = [doc(i, "alpha beta gamma " * 40, ["a", "b", "c", None][i % 4]) for i in range(80)]
+    out = packing.pack(spark.createDataFrame(rows, DOC).repartition(3), window=256, targets={"a": 3, "b": 1, None: 2}).collect()
+    names = {r[0]: r[3] for r in rows}
+    first = Counter()
+    for r in out:
+        if r.sequence_id < 8:
+            first[names[r.doc_id]] += r.length
+    assert sum(r.length for r in out) == sum(map(len, whole_ids([r[1] for r in rows])))
+    assert {k: round(v * 7 / (8 * 256), 1) for k, v in first.items()} == {"a": 3, "b": 1, "c": 1, None: 2}
+    with pytest.raises(ValueError):
+        packing.pack(spark.createDataFrame(rows, DOC), window=256, targets={"a": 256})
+
+
 def test_pack_is_gapless_and_mixed(spark):
     rng = random.Random(3)
     rows = [doc(i, " ".join(rng.choice(["alpha", "beta,", "Gamma!", "délta"]) for _ in range(rng.randint(0, 300))), rng.choice(["hot"] * 8 + ["a", "b", None])) for i in range(300)]

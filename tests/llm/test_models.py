@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -114,22 +115,41 @@ def test_quality_learns_and_handles_edges(spark):
     assert quality.score(df, quality.train(rows[:1])).first().score == 1
 
 
-def test_bigru_gradient_matches_differences():
-    rng = np.random.default_rng(3)
-    params = {"c": np.zeros(2)}
+def small_net(seed, languages=2):
+    rng = np.random.default_rng(seed)
+    params = {"c": rng.normal(0, 0.2, languages)}
     for d in "fb":
-        params |= {"t" + d: rng.normal(0, 0.5, (256, 3 * language.HIDDEN)), "u" + d: rng.normal(0, 0.5, (language.HIDDEN, 3 * language.HIDDEN)), "v" + d: rng.normal(0, 0.5, (language.HIDDEN, 2))}
-    net = language.BiGru(["a", "b"], params)
-    batch, y = [b"abc", b"z", b"hello"], np.array([0, 1, 1])
+        params |= {"t" + d: rng.normal(0, 0.5, (256, 3 * language.HIDDEN)), "u" + d: rng.normal(0, 0.5, (language.HIDDEN, 3 * language.HIDDEN)), "v" + d: rng.normal(0, 0.5, (language.HIDDEN, languages))}
+    return language.BiGru(["a", "b", "c"][:languages], params)
+
+
+def plain_states(net, raw, d):
+    """States after every byte, one byte at a time."""
+    t, u, k = net.params["t" + d], net.params["u" + d], language.HIDDEN
+    h, out = np.zeros(k), []
+    for b in raw:
+        x, m = t[b], h @ u
+        z, r = (1 / (1 + np.exp(-(x[i * k : i * k + k] + m[i * k : i * k + k]))) for i in (0, 1))
+        h = z * h + (1 - z) * np.tanh(x[2 * k :] + r * m[2 * k :])
+        out.append(h)
+    return np.array(out)
+
+
+def plain_label(ahead, back, net):
+    e = np.exp(ahead @ net.params["vf"] + back @ net.params["vb"] + net.params["c"])
+    return e / e.sum(-1, keepdims=True)
+
+
+def test_bigru_gradient_matches_differences():
+    net = small_net(3)
+    params = net.params
+    batch, y = [b"hello", b"abc", b"z"], np.array([1, 0, 1])
 
     def loss():
         total = 0.0
         for w, t in zip(batch, y):
-            ahead, back, n = language.byte_rows([w])
-            a, b = net.run(ahead, n, "f"), net.run(back, n, "b")
-            logits = a[:, 0] @ params["vf"] + b[::-1, 0] @ params["vb"] + params["c"]
-            e = np.exp(logits)
-            total -= np.log(e[:, t] / e.sum(1)).sum()
+            p = plain_label(plain_states(net, w, "f"), plain_states(net, w[::-1], "b")[::-1], net)
+            total -= np.log(p[:, t]).sum()
         return total / sum(map(len, batch))
 
     grads = net.gradient(batch, y)
@@ -145,6 +165,84 @@ def test_bigru_gradient_matches_differences():
         assert g.reshape(-1)[i] == pytest.approx((up - down) / 2e-5, rel=1e-3)
 
 
+@pytest.mark.parametrize(("chunk", "context", "lanes"), [(7, 3, 5), (4, 9, 2), (1000, 0, 64)])
+def test_chunks_equal_a_direct_pass(monkeypatch, chunk, context, lanes):
+    """Every byte's label is that of a plain pass over its chunk and the context of each direction; one chunk is the whole text."""
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    monkeypatch.setattr(language, "CONTEXT", context)
+    monkeypatch.setattr(language, "LANES", lanes)
+    rng, net = random.Random(chunk), small_net(chunk, 3)
+    texts = [bytes(rng.randrange(256) for _ in range(rng.choice([1, 2, chunk, 40, 93]))) for _ in range(12)] + [b"", b"x" * 200]
+    for raw, got in zip(texts, language.document_sums(net, texts)):
+        want = np.zeros(3)
+        for s in range(0, len(raw), chunk):
+            n = min(chunk, len(raw) - s)
+            ahead = plain_states(net, raw[max(0, s - context) : s + n], "f")[-n:]
+            back = plain_states(net, raw[s : s + n + context][::-1], "b")[-n:][::-1]
+            want += plain_label(ahead, back, net).sum(0)
+        np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+def test_emissions_and_layer_equal_a_plain_pass(spark):
+    """Scores of whole texts against features summed token by token and marginals by enumeration."""
+    crf = toxicity.train(rows_toxic(300))
+    for text in ("abc vilex, def", "Nastyq! -- gh", "-- --", "abcdefgh", "", "vilexes vilex a b c nastyq bad"):
+        tokens = text.split()
+        bare = [toxicity.bare_word(t) for t in tokens]
+        own = [sum(crf.weights.get(f, 0.0) for f in toxicity.token_features(t)) for t in tokens]
+        left = [crf.weights.get("l:" + bare[i - 1], 0.0) if i else 0.0 for i in range(len(tokens))]
+        right = [crf.weights.get("r:" + bare[i + 1], 0.0) if i + 1 < len(tokens) else 0.0 for i in range(len(tokens))]
+        p = brute_marginals([crf.bias + sum(x) for x in zip(own, left, right)], crf.trans, crf.start) if tokens else np.zeros(0)
+        top = max([-toxicity.MARGINAL_CAP, *np.clip(np.log(p / (1 - p)), -toxicity.MARGINAL_CAP, toxicity.MARGINAL_CAP)])
+        c, w0, w1 = crf.layer
+        want = 1 / (1 + np.exp(-(c + w0 * top + w1 * np.log1p(p[p > 0.5].sum()))))
+        scores, spans = toxicity._scored(crf, toxicity._Tokens(crf), [text], True)
+        assert scores[0] == pytest.approx(want, rel=1e-6)
+        inside = [any(s["start"] <= text.find(t) < s["end"] for s in spans[0]) for t in tokens]
+        assert inside == [x > 0.5 for x in p]
+
+
+def test_attention_equals_a_plain_pass():
+    """Passages encoded word by word and pooled one document at a time."""
+    rng = np.random.default_rng(6)
+    params = {k: rng.normal(0, 0.4, s) for k, s in {"w": (quality.DIMS, 4), "b": 4, "v": (4, 3), "u": (4, 3), "a": 3, "o": 4, "c": 1}.items()}
+    mil = quality.Mil(rng.normal(0, 0.1, quality.DIMS), np.full(quality.DIMS, 0.7), params)
+    texts = [" ".join(words(random.Random(i), "abAB1!?") * (i % 4)) for i in range(9)] + ["x" * 3000 + " Y"]
+    x, counts = quality.encode(quality._Words(), texts)
+    got, at = mil.scores(x, counts), 0
+    for text, score, n in zip(texts, got, counts):
+        w = text.split()
+        passages = [w[i : i + quality.PASSAGE] for i in range(0, len(w), quality.PASSAGE)]
+        assert len(passages) == n
+        hidden, weight = [], []
+        for part, row in zip(passages, x[at : at + n]):
+            means = sum(quality.word_row(a) for a in part) / len(part)
+            np.testing.assert_allclose(row[: len(means)], means, rtol=1e-4, atol=1e-5)
+            assert row[len(means)] == pytest.approx(len(set(part)) / len(part), rel=1e-5)
+            assert row[len(means) + 2] == pytest.approx(np.log1p(len(part)) / 4, rel=1e-5)
+            assert row[len(means) + 3] == pytest.approx(len(set(w)) / len(w) ** 0.9, rel=1e-5)
+            h = np.tanh(np.clip((row - mil.mean) / mil.scale, -8, 8) @ params["w"] + params["b"])
+            hidden.append(h)
+            weight.append(np.exp((np.tanh(h @ params["v"]) / (1 + np.exp(-(h @ params["u"])))) @ params["a"]))
+        z = sum((a * h for a, h in zip(weight, hidden)), np.zeros(4)) / (sum(weight) or 1)
+        assert score == pytest.approx(1 / (1 + np.exp(-(z @ params["o"] + params["c"][0]))), rel=1e-6)
+        at += n
+
+
+def test_a_long_row_costs_no_other_row_its_place(spark):
+    """Rows beyond the bounds are passed over one by one; the rest is learned from, in the order of the hash."""
+    from sievework.llm import common
+
+    rows = [{"text": "a" * n, "y": y} for n, y in ((50, 1), (5, 1), (7, 0), (60, 0), (9, 1), (8, 1), (3, 1))]
+    assert [len(r["text"]) for r in common.fitting(rows, 20, 17)] == [5, 7, 9, 3]
+    docs = spark.createDataFrame([(i, "w%d " % i * (400_000 if i == 9 else 3)) for i in range(60)] + [(7, "w7 again"), (None, "x"), (8, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (4, None)], "doc_id long, toxic int")
+    sample = common.labelled_sample(docs, labels, "toxic", {0: 100, 1: 100})
+    kept = common.trained(sample, ["h", "doc_id"], lambda rows: [len(r["text"]) for r in common.fitting(rows, 1000)])
+    learnable = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 9 in learnable and len(kept) == len(learnable) - 1 and max(kept) < 1000
+
+
 def test_language_learns_and_handles_edges(spark):
     rng = random.Random(7)
     rows = [{"lang": lang, "text": " ".join(words(rng, letters))} for _ in range(150) for lang, letters in (("aa", "abcde"), ("bb", "vwxyzé"))]

@@ -4,7 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import corpus_pipeline as cp
+from sievework.llm import pipeline as cp
 from sievework.llm import common, mixing, packing, quality, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -70,3 +70,33 @@ def test_each_stage(spark, tmp_path):
 
 def test_run_returns_pieces(spark):
     assert "sequence_id" in cp.run(spark, SF).columns
+
+
+def odd_rows(spark):
+    """NULLs in every column, an empty and a long text, repeated rows and ids, and columns with odd names."""
+    rows = [(i, f"word{i} " * 30, "en", "ab"[i % 2], 1, None, i) for i in range(40)]
+    rows += [(None, None, None, None, None, None, None), (None, "lone " * 9, None, None, None, None, 1), (50, "", "en", "a", 0, "x", 2), (51, "long words " * 40_000, "en", "b", 5, "y", 3)]
+    rows += [(52, "same row of seven words or so", "en", "a", 5, "y", 3)] * 3 + [(1, "another text under a known id", "en", "a", 1, "z", 4)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, size int")
+
+
+def test_stages_on_odd_rows(spark):
+    odd = odd_rows(spark).repartition(3)
+    whole = Counter(map(tuple, odd.collect()))
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, odd, SF)
+        assert out.columns == odd.columns, name
+        got = Counter(map(tuple, out.collect()))
+        assert got and set(got) <= set(whole), name
+        if name == "toxicity":
+            assert got == whole
+        if name == "near_copies":
+            assert got == Counter({r: 1 if r[1] and r[1].split() else n for r, n in whole.items()})
+    pieces = cp.STAGES[4][1](spark, odd, SF).collect()
+    assert sum(r.start == 0 for r in pieces) == sum(whole.values())
+
+
+def test_stages_on_an_empty_table(spark):
+    empty = odd_rows(spark).limit(0)
+    for name, stage in cp.STAGES:
+        assert stage(spark, empty, SF).collect() == [], name
