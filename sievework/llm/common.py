@@ -101,6 +101,17 @@ def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
     return df.mapInArrow(run, schema)
 
 
+def rows_where(docs: DataFrame, keep: Callable[[list[str]], Iterable[bool]]) -> DataFrame:
+    """The rows of docs, all columns whatever their names, whose text is kept; keep judges many texts at once."""
+    at = docs.columns.index("text")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(keep([t or "" for t in batch.column(at).to_pylist()]), pa.bool_()))
+
+    return mapped(plain, one, plain.schema).toDF(*docs.columns)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sievework.llm.common import CACHE_WORDS, fitting, labelled_sample, mapped, texts_of, trained
+from sievework.llm.common import CACHE_WORDS, fitting, labelled_sample, mapped, rows_where, texts_of, trained
 
 PER_CLASS = {0: 2500, 1: 3500}
 PASSAGE = 48
@@ -186,11 +186,7 @@ def score(docs: DataFrame, mil: Mil, threshold: float = 0.5) -> DataFrame:
 def keep_good(docs: DataFrame, mil: Mil, threshold: float = 0.5) -> DataFrame:
     """The rows of docs, all columns, whose score reaches the threshold."""
     cache = _Words()
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(mil.scores(*encode(cache, texts_of(batch))) >= threshold))
-
-    return mapped(docs, one, docs.schema)
+    return rows_where(docs, lambda texts: mil.scores(*encode(cache, texts)) >= threshold)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] | None = None) -> Mil:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sievework.llm.common import CACHE_WORDS, fitting, labelled_sample, mapped, texts_of, trained
+from sievework.llm.common import CACHE_WORDS, fitting, labelled_sample, mapped, rows_where, texts_of, trained
 
 PER_CLASS = {1: 2500, 0: 5000}
 MIN_G = 20.0
@@ -356,11 +356,7 @@ def score(docs: DataFrame, crf: Crf, threshold: float = 0.7) -> DataFrame:
 def keep_clean(docs: DataFrame, crf: Crf, threshold: float = 0.7) -> DataFrame:
     """The rows of docs, all columns, whose score is below the threshold."""
     cache = _Tokens(crf)
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(_scored(crf, cache, texts_of(batch), False)[0] < threshold))
-
-    return mapped(docs, one, docs.schema)
+    return rows_where(docs, lambda texts: _scored(crf, cache, texts, False)[0] < threshold)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] | None = None) -> Crf:
