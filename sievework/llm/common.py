@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import tempfile
 import uuid
@@ -17,7 +19,7 @@ BATCH_ROWS = 256
 #: A table of at most this many rows may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
 #: Entries a Python worker keeps in a word cache before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 #: Bounds of a learning sample: code points of one row, and of all rows of a class. Rows that don't fit are passed over.
 LONGEST_ROW, CLASS_CHARS = 1_000_000, 20_000_000
 
@@ -33,6 +35,15 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) ->
             yield batch.slice(i, rows)
 
 
+def release_memory() -> None:
+    """Gives what a Python worker no longer uses back to the system; workers live on for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share. A temporary one serves a local session (tests); elsewhere it must be set."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -97,6 +108,7 @@ def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
         for batch in small_batches(batches):
             if (out := fn(batch)) is not None:
                 yield out
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -153,7 +165,9 @@ def trained(sample: DataFrame, order: list[str], train: Callable[[Iterable[dict]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in small_batches(batches, 64) for r in batch.to_pylist())
-        yield pa.record_batch([pa.array([pickle.dumps(train(rows))], pa.binary())], ["model"])
+        model = pickle.dumps(train(rows))
+        release_memory()
+        yield pa.record_batch([pa.array([model], pa.binary())], ["model"])
 
     made = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").collect()
     return pickle.loads(made[0]["model"]) if made else train([])

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import CACHE_WORDS, columns_of, free_name, sized, small_batches, written
+from sievework.llm.common import CACHE_WORDS, columns_of, free_name, release_memory, sized, small_batches, written
 from sievework.llm.graph import components
 
 #: The sketch: 2^SKETCH_BITS counters that stop at 15, in SLICES slices.
@@ -120,10 +120,13 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                     np.add.at(counts, at[counts[at] < 15], 1)
             rows = len(n)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
-        parts = np.minimum(counts, 15).reshape(SLICES, -1)
+        parts = np.minimum(counts, 15, out=counts).reshape(SLICES, -1)
         for i in range(SLICES if seen else 0):
             blob = zstandard.compress(parts[i].tobytes(), 1)
             yield pa.record_batch([pa.nulls(1, doc_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
+        del counts, parts, cache
+        seen.clear()
+        release_memory()
 
     source = docs.select("doc_id", F.xxhash64("text").alias("seal"), F.col("text").cast("binary"))
     return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, seal long, n long, node binary, slice int, counts binary")
@@ -196,6 +199,9 @@ def postings(docs: DataFrame, k: int, num: int, den: int, shared, parts: int) ->
                 held, size = [], 0
         if size:
             yield flush()
+        held.clear()
+        cache.clear()
+        release_memory()
 
     return docs.select(F.col("text").cast("binary")).mapInArrow(run, "part int, blob binary")
 

@@ -209,6 +209,9 @@ class Sample:
                 self.independent[y] += 1
         self.toxic, self.words = np.array(toxic, bool), list(numbers)
 
+    def forget_features(self) -> None:
+        self.names, self.features, self.counts = {}, [], (Counter(), Counter())
+
     def telling(self, min_g: float) -> np.ndarray:
         """For each numbered token, whether one of its labelling features is tied to toxic documents."""
         (n0, n1), (clean, toxic) = self.independent, self.counts
@@ -252,7 +255,7 @@ def feature_rows(sample: Sample, tokens: np.ndarray, left: np.ndarray, right: np
     seen = np.bincount(raw[raw >= 0], minlength=3 * count) > 1
     renumbered = np.append(np.where(seen, np.cumsum(seen), 0), 0)  # -1 reads the 0 at the end
     names = list(sample.names)
-    return renumbered[raw], [(names[i] if i < count else "lr"[i // count - 1] + names[i % count][1:]) for i in np.flatnonzero(seen).tolist()]
+    return renumbered[raw].astype(np.int32), [(names[i] if i < count else "lr"[i // count - 1] + names[i % count][1:]) for i in np.flatnonzero(seen).tolist()]
 
 
 def train(rows: Iterable[dict], min_g: float = MIN_G, steps: int = 60, seed: int = 11) -> Crf:
@@ -263,6 +266,7 @@ def train(rows: Iterable[dict], min_g: float = MIN_G, steps: int = 60, seed: int
     rng = np.random.default_rng(seed)
     tokens, left, right, label, lengths = stretches(sample, sample.telling(min_g), rng)
     f, names = feature_rows(sample, tokens, left, right)
+    sample.forget_features()
     f[label.astype(bool) & (rng.random(len(f)) < 0.5), 0] = 0
     y = label.astype(float)
     last = np.zeros(len(y), bool)
