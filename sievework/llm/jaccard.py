@@ -544,3 +544,18 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
         return kept.select(*columns_of(docs))
     once, twice = of(again, "left_anti", kept), of(again, "left_semi", kept)
     return once.unionByName(twice.dropDuplicates(["doc_id", seal])).select(*columns_of(docs))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT r, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+z AS (SELECT r, count(*) AS c FROM g GROUP BY r),
+p AS (SELECT a.r AS i, b.r AS j, count(*) AS common FROM g a JOIN g b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+e AS MATERIALIZED (SELECT i, j FROM p JOIN z x ON x.r = i JOIN z y ON y.r = j WHERE 100 * common >= 90 * (x.c + y.c - common)),
+l AS MATERIALIZED (SELECT i, j FROM e UNION ALL SELECT j, i FROM e),
+t AS (SELECT r, r AS root FROM z UNION SELECT l.j, t.root FROM t JOIN l ON l.i = t.r),
+c AS (SELECT t.r, min(d.doc_id) AS low FROM t JOIN d ON d.r = t.root GROUP BY t.r),
+k AS (SELECT i AS r, count(*) AS n FROM l GROUP BY i)
+SELECT d.doc_id, coalesce(z.c, 0)::BIGINT AS n_shingles, CASE WHEN z.c IS NULL THEN d.doc_id ELSE c.low END AS component_id, coalesce(k.n, 0)::BIGINT AS n_links
+FROM d LEFT JOIN z USING (r) LEFT JOIN c USING (r) LEFT JOIN k USING (r)
+"""

@@ -69,3 +69,4 @@ def op8_packing(spark, sf_dir):
 
 
 QUERIES |= {"op3_jaccard": op3_jaccard, "op8_packing": op8_packing}
+ORACLE_SQL |= {"op3_jaccard": jaccard.ORACLE}
