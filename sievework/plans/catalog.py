@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievework.plans import dedup_queries, rule_queries
+from sievework.plans import case_queries, dedup_queries, rule_queries
 
-_MODULES = (dedup_queries, rule_queries)
+_MODULES = (dedup_queries, rule_queries, case_queries)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.functions import contacts, pii
 from sievework.functions import patterns as P
-from sievework.functions import pii
 from sievework.functions.code import block_counts, closed_blocks, unbalanced_blocks
 from sievework.functions.text import contained, contains_any, estimated_tokens, gram_normal, matches, prose_segments, starts_any, strip, without_links
 from sievework.operators import findings as O
@@ -53,18 +53,27 @@ def public_set(full: Column) -> Column:
     return F.get(F.filter(matches(full, P.PUBLIC_SETS, 300), counts), F.lit(0))["value"]
 
 
-def privacy(text: Column, test_cards: tuple[str, ...] = P.TEST_CARDS) -> Column:
-    """array<struct<kind,value>>: the first leak of each kind; test_cards are card numbers that belong to nobody."""
+def privacy(text: Column, test_cards: tuple[str, ...] = P.TEST_CARDS, around: bool = False) -> Column:
+    """array<struct<kind,value>>: the first leak of each kind; test_cards are card numbers that belong to nobody.
+
+    around: addresses and phone numbers are those of contacts.with_personal(), which judges them by what stands around them too.
+    """
     emails = matches(text, P.EMAIL)
-    email = F.when(F.size(emails) < 3, F.get(F.filter(emails, lambda m: pii.real_email(m["value"])), F.lit(0))["value"])
-    phone = F.get(F.filter(matches(text, P.PHONE), lambda m: ~pii.made_up_phone(m["value"]) & ~F.right(m["pre"], F.lit(1)).rlike(r"[\w.\-=_/#+]") & ~F.left(m["post"], F.lit(1)).rlike(r"[\w\-=_/#%]")), F.lit(0))["value"]
+    own = F.col("emails") if around else F.filter(emails, lambda m: pii.real_email(m["value"]))
+    email = F.when(F.size(emails) < 3, F.get(own, F.lit(0))["value"])
+    phone = F.get("phones", F.lit(0))["value"] if around else F.get(F.filter(matches(text, P.PHONE), lambda m: ~pii.made_up_phone(m["value"]) & ~F.right(m["pre"], F.lit(1)).rlike(r"[\w.\-=_/#+]") & ~F.left(m["post"], F.lit(1)).rlike(r"[\w\-=_/#%]")), F.lit(0))["value"]
     card, account = F.get(pii.id_cards(text), F.lit(0))["value"], F.get(pii.bank_cards(text, test_cards), F.lit(0))["value"]
     kinds = F.array(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("kind"), v.alias("value"))) for k, v in (("email", email), ("phone", phone), ("id_card", card), ("bank_card", account))])
     return F.filter(kinds, lambda x: x.isNotNull())
 
 
-def check(records: DataFrame, exempt_intranet: bool = False, test_cards: tuple[str, ...] = P.TEST_CARDS) -> DataFrame:
-    d = derived(records).withColumn("private", privacy(F.col("prose"), test_cards)).withColumn("ips", pii.private_ips(F.col("prose"))).withColumn("bad_blocks", unbalanced_blocks("blocks")).withColumn("code", block_counts(F.col("blocks")))
+def check(records: DataFrame, exempt_intranet: bool = False, test_cards: tuple[str, ...] = P.TEST_CARDS, around: bool = False) -> DataFrame:
+    """records with findings and the columns that statistics count; around: see privacy(), and private addresses amid configuration are excused."""
+    d = contacts.with_personal(derived(records), "prose") if around else derived(records)
+    ips = pii.private_ips(F.col("prose"))
+    ips = F.filter(ips, lambda m: ~contacts.configured_ip(m)) if around else ips
+    d = d.withColumn("private", privacy(F.col("prose"), test_cards, around)).withColumn("ips", ips)
+    d = d.withColumn("bad_blocks", unbalanced_blocks("blocks")).withColumn("code", block_counts(F.col("blocks")))
     whole = F.md5(F.coalesce(F.to_json(F.try_variant_get("v", "$.message", "variant")), F.lit("[]")))
     d = O.first_seen(d, whole, F.col("rid"), "file", "pos").withColumnRenamed("seen_before", "message_of")
     question = strip(F.coalesce(F.get("turns.question", F.lit(0)), F.lit("")))

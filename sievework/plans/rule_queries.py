@@ -53,7 +53,7 @@ def qa_records(spark, sf_dir):
 
 
 def qa_findings(spark, sf_dir):
-    return O.exploded(qa.check(qa_records(spark, sf_dir)), keys=("rid",)).select("rid", "level", "item")
+    return O.exploded(qa.check(qa_records(spark, sf_dir), around=True), keys=("rid",)).select("rid", "level", "item")
 
 
 def qa_duplicates(spark, sf_dir):
@@ -62,7 +62,7 @@ def qa_duplicates(spark, sf_dir):
 
 
 def qa_gates(spark, sf_dir):
-    checked = qa.check(qa_records(spark, sf_dir))
+    checked = qa.check(qa_records(spark, sf_dir), around=True)
     mixed, near = qa.mixed_files(checked).count(), neardup.near_pair_count(qa.near_texts(checked))
     return qa.gate_rows(qa.stats(checked), qa.histograms(checked), mixed, near).select("gate", "level", "numer", "denom")
 
