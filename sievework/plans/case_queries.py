@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from sievework.functions import code, pii, text
 from sievework.operators import findings as O
+from sievework.operators import neardup
 from sievework.plans import blog, commit, deep, qa
+from sievework.sources import corpora, records
 from sievework.sources.records import parsed
 from sievework.sources.tables import table
 
@@ -432,8 +434,95 @@ GATES = {
     ]).replace("'WARN' AS level, numer, denom FROM (SELECT (0)::BIGINT", "'WARN' AS level, numer, denom FROM (SELECT (1)::BIGINT"),
 }
 
+def info_cases(spark, sf_dir):
+    """The informing rows of dialogues and commits."""
+    told = qa.info_rows(qa.stats(qa.check(case_records(spark, sf_dir, QA_CASES)))).unionByName(commit.info_rows(commit.stats(commit.check(case_records(spark, sf_dir, COMMIT_CASES)), int(AS_OF[:4]))))
+    return told.select("gate", "level", "numer", "denom")
+
+
+def summary_cases(spark, sf_dir):
+    """Items of the articles' findings: exact counts, the gravest level, five sample ids."""
+    return O.item_summary(O.exploded(_blog(spark, sf_dir), keys=("rid",))).select("item", "cnt", "level", F.array_join("samples", ",").alias("samples"))
+
+
+def histogram_cases(spark, sf_dir):
+    """Languages, platforms, categories and years of the articles, with the other kinds' languages."""
+    of = lambda name, hist: hist.select(F.lit(name).alias("kind"), "dim", "key", "cnt")
+    qa_hist, commit_hist = qa.histograms(qa.check(case_records(spark, sf_dir, QA_CASES))), commit.histograms(commit.check(case_records(spark, sf_dir, COMMIT_CASES)))
+    return of("blog", blog.histograms(_blog(spark, sf_dir))).unionByName(of("qa", qa_hist)).unionByName(of("commit", commit_hist.filter("dim in ('language', 'severity', 'year', 'license')")))
+
+
+def _histogram_rows() -> str:
+    dims = {
+        "blog": (_B, lambda r: {"platform": r["meta"]["source_platform"], "category": r["meta"]["content_category"], "year": r["meta"]["publish_time"][:4], "language": [r["meta"]["primary_languages"]] if isinstance(r["meta"]["primary_languages"], str) else r["meta"]["primary_languages"]}),
+        "qa": (_Q, lambda r: {"language": r["metadata"]["primary_language"].lower(), "domain": r["domain"][0]}),
+        "commit": (_C, lambda r: {"language": r["meta"]["programming_language"], "severity": r["meta"]["severity"], "license": r["meta"]["license"], "year": None if r["meta"]["cve_id"] == "CVE-22-1" else "2025"}),
+    }
+    parts = []
+    for kind, (cases, of) in dims.items():
+        rows = [(k, dim, key) for k, (record, _) in enumerate(cases) for dim, keys in of(record).items() for key in (keys if isinstance(keys, list) else [keys]) if key is not None]
+        values = ", ".join(f"({k}, '{dim}', '{key}')" for k, dim, key in rows)
+        parts.append(f"SELECT '{kind}' AS kind, c.dim, c.key, count(*) AS cnt FROM documents d JOIN (VALUES {values}) c(k, dim, key) ON d.doc_id % {len(cases)} = c.k GROUP BY 1, 2, 3")
+    return " UNION ALL ".join(parts)
+
+
+def _plain_text(kind: str, r: dict) -> str:
+    """What counts of a record, normalised, in plain Python."""
+    if kind == "blog":
+        t = r["content"]
+    elif kind == "qa":
+        t = "\n".join(f"{x.get('question', '')}\n{x.get('answer', '')}" for x in r["message"])
+    else:
+        t = "\n".join(r["meta"].get(k) or "" for k in ("commit_message", "vulnerable_code", "fixed_code", "unified_diff"))
+    return "".join(t.replace("![a](data:image/png;base64,AAAA)", "[img]").lower().split())
+
+
+_KINDS = {"blog": BLOG_CASES, "qa": QA_CASES, "commit": COMMIT_CASES}
+
+
+def collected_cases(spark, sf_dir):
+    """Texts of all kinds of records as the deduplication sees them, and whether they take part."""
+    out = None
+    for kind, cases in _KINDS.items():
+        part = corpora.collected(case_records(spark, sf_dir, cases), kind).select(F.lit(kind).alias("kind"), F.col("pos").alias("doc_id"), F.md5("norm").alias("digest"), "state")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _collected_rows() -> str:
+    parts = []
+    for kind, cases in _KINDS.items():
+        values = ", ".join("({}, '{}')".format(k, _plain_text(kind, r).replace("'", "''")) for k, (r, _) in enumerate(cases))
+        parts.append(f"SELECT '{kind}' AS kind, doc_id, replace(c.t, '{{n}}', doc_id::VARCHAR) AS norm FROM documents d JOIN (VALUES {values}) c(k, t) ON d.doc_id % {len(cases)} = c.k")
+    return f"SELECT kind, doc_id, md5(norm) AS digest, CASE WHEN norm = '' THEN 'skipped_empty' WHEN length(norm) < 200 THEN 'skipped_short' ELSE 'kept' END AS state FROM ({' UNION ALL '.join(parts)})"
+
+
+def jsonl_scan(spark, sf_dir):
+    """Documents written as JSON lines, each seventh blank and each eleventh broken, then read again: lines by status, and findings' line numbers."""
+    body = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("content")))
+    line = F.when(F.col("doc_id") % 7 == 0, " ").when(F.col("doc_id") % 11 == 0, F.concat(F.lit("{"), body)).otherwise(body)
+    path = neardup.kept_path(spark)
+    table(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+    read = parsed(records.read_lines(spark, path, "*.txt"))
+    bad = records.file_findings(read, records.bom_files(spark, path, "*.txt"))
+    inside = bad.join(records.line_counts(read), "file").filter("line_no between 1 and lines")
+    numbers = records.numbered(read).groupBy("file").agg(F.max("line_no").alias("last"), F.countDistinct("line_no").alias("n")).agg(F.sum("last").alias("n"))
+    counts = read.groupBy(F.col("status").alias("what")).agg(F.count("*").alias("n"))
+    return counts.unionByName(inside.groupBy(F.col("item").alias("what")).agg(F.count("*").alias("n"))).unionByName(numbers.select(F.lit("line numbers").alias("what"), F.col("n").cast("long").alias("n")))
+
+
+_JSONL = """WITH d AS (SELECT CASE WHEN doc_id % 7 = 0 THEN 'blank' WHEN doc_id % 11 = 0 THEN 'bad' ELSE 'ok' END AS what FROM documents)
+SELECT what, count(*) AS n FROM d GROUP BY what UNION ALL SELECT 'json_parse', count(*) FROM d WHERE what = 'bad' UNION ALL SELECT 'line numbers', count(*) FROM d"""
+_TOKENS = " + ".join(f"{3 if k == _with(_Q, 'tokens_missing')[0] else 30} * (SELECT coalesce(sum(n), 0) FROM c WHERE k = {k})" for k in range(len(_Q)))
+_INFO = f"""WITH c AS (SELECT doc_id % {len(_Q)} AS k, count(*) AS n FROM documents GROUP BY 1)
+SELECT 'syntax' AS gate, 'SKIP' AS level, NULL::BIGINT AS numer, NULL::BIGINT AS denom UNION ALL SELECT 'tokens', 'PASS', ({_TOKENS})::BIGINT, NULL
+UNION ALL SELECT 'year_span', 'PASS', count(*) FILTER (doc_id % {len(_C)} <> {_with(_C, 'cve_format')[0]}), count(*) FROM documents"""
+_SUMMARY = f"""WITH f AS ({_expected(_B)}) SELECT item, count(*) AS cnt, CASE WHEN bool_or(level = 'ERROR') THEN 'ERROR' ELSE 'WARN' END AS level,
+  array_to_string(list_slice(list_sort(list(DISTINCT doc_id::VARCHAR)), 1, 5), ',') AS samples FROM f GROUP BY item"""
+
 QUERIES = {
+    "info_cases": info_cases, "summary_cases": summary_cases, "histogram_cases": histogram_cases, "collected_cases": collected_cases, "jsonl_scan": jsonl_scan,
     "blog_cases": blog_cases, "commit_cases": commit_cases, "qa_cases": qa_cases, "deep_cases": deep_cases,
     "blog_case_gates": blog_case_gates, "commit_case_gates": commit_case_gates, "qa_case_gates": qa_case_gates, "value_cases": value_cases,
 }
-ORACLE_SQL = {"blog_cases": _expected(BLOG_CASES), "commit_cases": _expected(COMMIT_CASES), "qa_cases": _expected(QA_CASES), "deep_cases": _expected(DEEP_CASES), "value_cases": _value_rows(), **GATES}
+ORACLE_SQL = {"info_cases": _INFO, "summary_cases": _SUMMARY, "histogram_cases": _histogram_rows(), "collected_cases": _collected_rows(), "jsonl_scan": _JSONL, "blog_cases": _expected(BLOG_CASES), "commit_cases": _expected(COMMIT_CASES), "qa_cases": _expected(QA_CASES), "deep_cases": _expected(DEEP_CASES), "value_cases": _value_rows(), **GATES}

@@ -147,3 +147,9 @@ def gate_rows(stat: DataFrame, hist: DataFrame) -> DataFrame:
     top = O.top_of(hist.filter("dim = 'language'")).crossJoin(F.broadcast(stat.select(c("total").alias("n"))))
     share = c("cnt") / c("n") * 100
     return rows.unionByName(top.select(F.lit("one_language").alias("gate"), F.when(share > P.MAX_ONE_LANGUAGE, "ERROR").otherwise("PASS").alias("level"), share.alias("value"), F.lit(P.MAX_ONE_LANGUAGE).alias("threshold"), c("cnt").alias("numer"), c("n").alias("denom")))
+
+
+def info_rows(stat: DataFrame) -> DataFrame:
+    """The years that the records span: value is the first, threshold the last, numer how many records have a year."""
+    c = F.col
+    return stat.select(F.lit("year_span").alias("gate"), F.lit("PASS").alias("level"), c("first_year").cast("double").alias("value"), c("last_year").cast("double").alias("threshold"), c("years").cast("long").alias("numer"), c("total").cast("long").alias("denom"))

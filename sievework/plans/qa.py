@@ -174,7 +174,6 @@ def histograms(checked: DataFrame) -> DataFrame:
 def gate_rows(stat: DataFrame, hist: DataFrame, mixed: int, near: int | None = None, exempt_multi_turn: bool = True) -> DataFrame:
     """Threshold gates; mixed: files of mixed kinds; near: near-duplicate pairs, None where they weren't searched (level SKIP)."""
     c = F.col
-    multi = c("multi_turn") / F.greatest(c("total"), F.lit(1)) * 100
     rows = O.gates(
         stat, O.ratio_gate("multi_turn", c("multi_turn"), c("total"), P.MIN_MULTI_TURN, at_least=True, bad="WARN" if exempt_multi_turn else "ERROR"), O.ratio_gate("message_duplicate", c("message_duplicate"), c("total"), P.MAX_QA_DUP, inclusive=True),
         *[O.any_gate(x, c(x)) for x in ("hidden_span", "source_missing", "time_inverted", "low_model")], *[O.any_gate(x, c(x), "WARN") for x in ("two_turns", "time_equal", "synthetic_question", "public_data_set", "bad_blocks")],
@@ -188,8 +187,14 @@ def gate_rows(stat: DataFrame, hist: DataFrame, mixed: int, near: int | None = N
     one = own.select(F.lit("one_language").alias("gate"), F.when(share > P.MAX_ONE_LANGUAGE, "WARN").otherwise("PASS").alias("level"), share.alias("value"), F.lit(P.MAX_ONE_LANGUAGE).alias("threshold"), c("cnt").alias("numer"), c("total").alias("denom"))
     held = langs.filter(c("key").isin(*P.QA_PLACEHOLDER_LANGS)).agg(F.sum("cnt").alias("numer")).filter("numer is not null")
     skip = held.select(F.lit("placeholder_language").alias("gate"), F.lit("SKIP").alias("level"), c("numer").cast("double").alias("value"), F.lit(None).cast("double").alias("threshold"), c("numer"), F.lit(None).cast("long").alias("denom"))
-    del multi
     return rows.unionByName(near_row).unionByName(one).unionByName(skip)
 
 
-__all__ = ["check", "derived", "gate_rows", "histograms", "missing", "mixed_files", "near_texts", "privacy", "public_set", "stats", "time_concentration"]
+def info_rows(stat: DataFrame) -> DataFrame:
+    """Rows that tell and judge nothing: the syntax check that isn't made, and the tokens in all."""
+    none = F.lit(None)
+    row = lambda gate, level, numer: F.struct(F.lit(gate).alias("gate"), F.lit(level).alias("level"), numer.cast("double").alias("value"), none.cast("double").alias("threshold"), numer.cast("long").alias("numer"), none.cast("long").alias("denom"))
+    return stat.select(F.inline(F.array(row("syntax", "SKIP", none), row("tokens", "PASS", F.col("tokens")))))
+
+
+__all__ = ["info_rows", "check", "derived", "gate_rows", "histograms", "missing", "mixed_files", "near_texts", "privacy", "public_set", "stats", "time_concentration"]

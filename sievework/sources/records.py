@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PARSE = {"maxStringLen": "500000000"}
 
 
-def read_lines(spark: SparkSession, paths: list[str] | str, glob: str = "*.jsonl", skip: tuple[str, ...] = ()) -> DataFrame:
-    """(file, pos, line) of JSONL files and folders; pos ascends within a file. Only \\n ends a line; a trailing \\r goes."""
-    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(paths)
+def read_lines(spark: SparkSession, paths: list[str] | str, glob: str = "*.jsonl", skip: tuple[str, ...] = (), bare_cr: bool = False) -> DataFrame:
+    """(file, pos, line) of JSONL files and folders; pos ascends within a file.
+
+    \\n ends a line, and a \\r before it goes. With bare_cr a \\r alone ends a line too, as the record programs read; the
+    deduplication reads without. Files that are named themselves are read whatever their names.
+    """
+    reader = spark.read.option("pathGlobFilter", glob)
+    lines = (reader if bare_cr else reader.option("lineSep", "\n")).text(paths)
     rows = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("_name"), F.monotonically_increasing_id().alias("pos"), F.rtrim("value", F.lit("\r")).alias("line"))
     return rows.filter(~F.col("_name").isin(*skip)).drop("_name") if skip else rows.drop("_name")
 
@@ -20,10 +25,37 @@ def line_counts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("file").agg(F.count("*").alias("lines"))
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """lines with line_no, from 1 in each file: a split's first pos and the counts of the splits before it, so no file meets in one task."""
+    split = F.shiftright("pos", 33)
+    splits = lines.groupBy("file", split.alias("_split")).agg(F.min("pos").alias("_first"), F.count("*").alias("_n"))
+    upto = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    bases = splits.select("file", "_split", (F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.col("_first") + 1).alias("_base"))
+    return lines.withColumn("_split", split).join(bases, ["file", "_split"]).withColumn("line_no", F.col("pos") + F.col("_base")).drop("_split", "_base")
+
+
 def bom_files(spark: SparkSession, paths: list[str] | str, glob: str = "*.jsonl") -> DataFrame:
-    """(file, bom): text readers drop the mark silently, so the first bytes are read as binary."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
-    return raw.select(F.col("path").alias("file"), (F.substring("content", 1, 3) == F.lit(b"\xef\xbb\xbf")).alias("bom"))
+    """(file, bom): text readers drop the mark silently, so each file's first three bytes are read through Hadoop, and no more of it."""
+    files = [r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths).select("path").collect()]
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for file in files:
+        path = hadoop.Path(file)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            rows.append((file, [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]))
+        finally:
+            stream.close()
+    return spark.createDataFrame(rows, "file string, bom boolean")
+
+
+def file_findings(read: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """(file, line_no, rid, level, item, detail): lines that are no JSON, and files that begin with a byte-order mark; read: parsed()."""
+    found = lambda df, item, detail: df.select("file", F.col("line_no").cast("long").alias("line_no"), F.lit("?").alias("rid"), F.lit("ERROR").alias("level"), F.lit(item).alias("item"), detail.alias("detail"))
+    bad = found(numbered(read).filter("status = 'bad'"), "json_parse", F.left("line", F.lit(60)))
+    if marks is None:
+        return bad
+    return bad.unionByName(found(marks.filter("bom").withColumn("line_no", F.lit(1)), "byte_order_mark", F.lit("UTF-8")))
 
 
 def parsed(lines: DataFrame) -> DataFrame:
