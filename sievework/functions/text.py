@@ -10,27 +10,41 @@ from sievework.functions import patterns as P
 # Fixed value: the placeholder-bearing Markdown image form that the dedup normaliser replaces.
 DATA_IMAGE = r"!\[[^\]]*\]\(data:image/[a-z]+;base64,[^)]*\)"
 # Python's \s over str: Unicode white space plus the four ASCII separators.
-PY_SPACE = r"(?U)[\s\x1c-\x1f]+"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 NO_STRINGS = "array<string>"
 
 
 def strip(text: Column) -> Column:
     """Without white space at the ends, in Python's sense of white space."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)\A[\s\x1c-\x1f]+", ""), r"(?U)[\s\x1c-\x1f]+\z", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def right_strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", "")
+    return F.rtrim(text, F.lit(SPACES))
+
+
+def replaced(text: Column, hint: str, pattern: str, by: str) -> Column:
+    """regexp_replace for patterns that match nothing in a text without the hint, which is looked for first."""
+    return F.when(F.contains(text, F.lit(hint)), F.regexp_replace(text, pattern, by)).otherwise(text)
+
+
+def all_matches(text: Column, hint: str, pattern: str) -> Column:
+    """Whole matches of a pattern that needs the hint in the text."""
+    return F.when(F.contains(text, F.lit(hint)), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast(NO_STRINGS))
+
+
+def match_count(text: Column, hint: str, pattern: str) -> Column:
+    return F.when(F.contains(text, F.lit(hint)), F.regexp_count(text, F.lit(pattern))).otherwise(0)
 
 
 def dedup_normal(text: Column) -> Column:
     """Lower-cased text without white space; embedded images become one placeholder. NULL stays NULL."""
-    return F.regexp_replace(F.lower(F.regexp_replace(text, DATA_IMAGE, "[img]")), PY_SPACE, "")
+    return F.translate(F.lower(replaced(text, "data:image", DATA_IMAGE, "[img]")), SPACES, "")
 
 
 def gram_normal(text: Column) -> Column:
     """Lower-cased text without white space, as the near-duplicate gates compare it."""
-    return F.regexp_replace(F.lower(text), PY_SPACE, "")
+    return F.translate(F.lower(text), SPACES, "")
 
 
 def char_ngrams(text: Column, n: int, keep_short: bool) -> Column:
@@ -110,7 +124,9 @@ def fence_state(text: Column) -> Column:
             F.when((ticks == 0) & (s["open"] == 0), F.concat(s["kept"], F.array(x))).otherwise(s["kept"]).alias("kept"),
         )
 
-    return F.aggregate(lines(text), start, step)
+    # Most texts have no fence: their lines all stay, and none is walked through.
+    plain = F.struct(F.lit(0).alias("open"), F.lit(0).alias("line"), F.size(lines(text)).alias("n"), F.lit(0).alias("fences"), lines(text).alias("kept"))
+    return F.when(F.contains(text, F.lit("```")), F.aggregate(lines(text), start, step)).otherwise(plain)
 
 
 def outside_fences(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import patterns as P
 from sievework.functions import pii
-from sievework.functions.text import contained, contains_any, fence_state, gram_normal, lines, right_strip, strip
+from sievework.functions.text import all_matches, contained, contains_any, fence_state, gram_normal, lines, match_count, replaced, right_strip, strip
 from sievework.operators import findings as O
 from sievework.sources.records import missing_of, strings_at, text_at, type_at
 
@@ -16,14 +16,14 @@ def derived(records: DataFrame) -> DataFrame:
     """records (file, pos, v, keys, status) with the text views that rules share."""
     content = F.coalesce(text_at("$.content"), F.lit(""))
     out = records.filter("status in ('ok', 'not_object')").select("file", "pos", "v", "keys", F.coalesce(text_at("$.id"), F.lit("?")).alias("rid"), content.alias("content"))
-    out = out.withColumn("work", F.regexp_replace("content", P.BASE64_IMAGE, "")).withColumn("images", F.regexp_count("content", F.lit(P.BASE64_IMAGE)))
-    out = out.withColumn("fence", fence_state(F.col("work"))).withColumn("no_code", F.regexp_replace(F.array_join("fence.kept", "\n"), P.INLINE_CODE, ""))
+    out = out.withColumn("work", replaced(F.col("content"), "data:image/", P.BASE64_IMAGE, "")).withColumn("images", match_count(F.col("content"), "data:image/", P.BASE64_IMAGE))
+    out = out.withColumn("fence", fence_state(F.col("work"))).withColumn("no_code", replaced(F.array_join("fence.kept", "\n"), "`", P.INLINE_CODE, ""))
     return out.withColumn("tail", right_strip(F.col("work"))).withColumn("bare", strip(F.col("work")))
 
 
 def empty_section(tail: Column) -> Column:
     """The last heading, if nothing follows it, it is no sentence and names a part that should have content; else NULL."""
-    head = F.try_element_at(F.regexp_extract_all(tail, F.lit(P.SECTION_HEAD), F.lit(0)), F.lit(-1))
+    head = F.try_element_at(all_matches(tail, "#", P.SECTION_HEAD), F.lit(-1))
     ends = F.endswith(tail, F.rtrim(head))
     return F.when(ends & ~head.rlike(P.SENTENCE_END) & contains_any(head, P.EMPTY_SECTION_WORDS), head)
 
@@ -33,13 +33,14 @@ def ad_hits(work: Column, category: Column) -> Column:
     plain = F.filter(lines(work), lambda x: ~x.rlike(P.BODY_WORDS) & ~x.rlike("(?i)flag|ctf") & ~F.contains(x, F.lit(P.AD_PHRASE_EXEMPT)))
     strong = F.array_distinct(F.flatten(F.transform(plain, lambda x: contained(x, P.AD_STRONG))))
     weak = F.array_distinct(F.flatten(F.transform(F.filter(plain, lambda x: x.rlike(P.AD_CALL)), lambda x: contained(x, P.AD_WEAK))))
-    exempt = contains_any(F.coalesce(category, F.lit("")), P.AD_CATEGORY_EXEMPT)
+    # Lines are looked at only where a word to be found stands somewhere in the text.
+    exempt = contains_any(F.coalesce(category, F.lit("")), P.AD_CATEGORY_EXEMPT) | ~contains_any(work, P.AD_STRONG + P.AD_WEAK)
     none = F.array().cast("array<string>")
     return F.struct(F.when(exempt, none).otherwise(strong).alias("strong"), F.when(exempt, none).otherwise(weak).alias("weak"))
 
 
 def live_ip_links(no_code: Column) -> Column:
-    found = F.regexp_extract_all(no_code, F.lit(P.IP_URL), F.lit(0))
+    found = all_matches(no_code, ":", P.IP_URL)
     return F.filter(found, lambda x: F.startswith(F.lower(x), F.lit("http")) & ~x.rlike(P.DEFANGED) & ~pii.excluded_ip(F.regexp_extract(x, P.PLAIN_IP, 0)))
 
 
@@ -47,22 +48,22 @@ def check(records: DataFrame, as_of: str) -> DataFrame:
     """records with findings (array) and the flags that statistics count; as_of: the date (yyyy-mm-dd) that ages refer to."""
     d = derived(records)
     d = d.withColumn("ads", ad_hits(F.col("work"), text_at("$.meta.content_category"))).withColumn("links", live_ip_links(F.col("no_code")))
-    emails = F.filter(F.regexp_extract_all("work", F.lit(P.EMAIL), F.lit(0)), pii.blog_email_counts)
+    emails = F.filter(all_matches(F.col("work"), "@", P.EMAIL), pii.blog_email_counts)
     d = d.withColumn("private", F.concat(emails, pii.article_cards(F.col("work"), as_of)))
-    d = d.withColumn("cves", F.array_distinct(F.transform(F.regexp_extract_all("work", F.lit(P.CVE), F.lit(0)), F.upper)))
+    d = d.withColumn("cves", F.array_distinct(F.transform(all_matches(F.col("work"), "-", P.CVE), F.upper)))
     d = d.withColumn("related", F.transform(strings_at("$.meta.related_cves"), F.upper)).withColumn("missing", missing_of("$.meta", P.BLOG_META))
     d = O.first_seen(d, F.nullif(strip(text_at("$.meta.url")), F.lit("")), F.col("rid"), "file", "pos").withColumnRenamed("seen_before", "url_of")
     d = O.first_seen(d, F.md5(strip(F.col("content"))), F.col("rid"), "file", "pos").withColumnRenamed("seen_before", "body_of")
     tail, work, no_code = F.col("tail"), F.col("work"), F.col("no_code")
     poc, colon, section = tail.rlike(P.POC_END), tail.rlike(P.COLON_END), empty_section(tail)
-    blobs = F.regexp_count(work, F.lit(P.BLOB_IMAGE))
-    linked = F.regexp_count(no_code, F.lit(P.LINKED_IMAGE)) + F.regexp_count(no_code, F.lit(P.LINKED_TAG))
+    blobs = match_count(work, "](blob:", P.BLOB_IMAGE)
+    linked = match_count(no_code, "](", P.LINKED_IMAGE) + match_count(no_code, "<", P.LINKED_TAG)
     published = F.left(F.coalesce(text_at("$.meta.publish_time"), F.lit("")), F.lit(10))
     age = F.datediff(F.lit(as_of).cast("date"), F.when(published.rlike(r"^\d{4}-\d{2}-\d{2}$"), published.try_cast("date"))) / 365.25
     original = F.try_variant_get("v", "$.meta.is_original", "boolean")
     is_bool = type_at("$.meta.is_original") == "BOOLEAN"
-    phones = F.regexp_extract_all(work, F.lit(P.PHONE), F.lit(0))
-    private_ips = F.regexp_extract_all(work, F.lit(P.PRIVATE_IP), F.lit(0))
+    phones = all_matches(work, "1", P.PHONE)
+    private_ips = all_matches(work, "1", P.PRIVATE_IP)
     forbidden = contained(work, P.FORBIDDEN_BLOG)
     d = d.withColumns({
         "truncated": poc | (~colon & section.isNotNull()), "blobs": blobs, "linked": linked, "outdated": F.coalesce(age > 10, F.lit(False)),
@@ -89,7 +90,7 @@ def check(records: DataFrame, as_of: str) -> DataFrame:
         O.rule("ERROR", "cve_incomplete", (F.size("related") > 0) & (F.size(F.array_except("cves", "related")) > 0), F.array_join(F.slice(F.array_sort(F.array_except("cves", "related")), 1, 3), ",")),
         O.rule("WARN", "translation_source", is_bool & ~original & F.forall(F.array(*[F.coalesce(text_at(f"$.meta.{k}"), F.lit("")) for k in P.TRANSLATION_SOURCES]), lambda x: x == "")),
         O.rule("WARN", "outdated", F.col("outdated"), published),
-        O.rule("WARN", "too_short", (F.length("bare") < P.MIN_CHARS) & (F.col("images") + F.regexp_count(work, F.lit(P.IMAGE_NOTE)) == 0), F.length("bare")),
+        O.rule("WARN", "too_short", (F.length("bare") < P.MIN_CHARS) & (F.col("images") + match_count(work, "<image_desc>", P.IMAGE_NOTE) == 0), F.length("bare")),
         O.rule("WARN", "not_technical", F.col("nontech"), F.array_join(F.concat("ads.strong", "ads.weak"), ",")),
         O.rule("ERROR", "forbidden", F.size(forbidden) > 0, F.array_join(forbidden, ",")),
     )
