@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, fingerprints, jaccard, language, mixing, packing, quality, sharding, topk, toxicity
+from sievework.llm import chat, divergence, fingerprints, jaccard, language, mixing, packing, quality, sharding, topk, toxicity
 from sievework.llm.common import documents, id_text_crc
 
 QUERIES: dict = {}
@@ -70,3 +70,11 @@ def op8_packing(spark, sf_dir):
 
 QUERIES |= {"op3_jaccard": op3_jaccard, "op8_packing": op8_packing}
 ORACLE_SQL |= {"op3_jaccard": jaccard.ORACLE}
+
+
+def op12_divergence(spark, sf_dir):
+    return divergence.report(documents(spark, sf_dir))
+
+
+QUERIES |= {"op12_divergence": op12_divergence}
+ORACLE_SQL |= {"op12_divergence": divergence.ORACLE}
