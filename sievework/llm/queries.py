@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, divergence, fingerprints, jaccard, language, mixing, packing, quality, sharding, topk, toxicity
+from sievework.llm import chat, divergence, fingerprints, jaccard, language, mixing, packing, quality, repair, sharding, topk, toxicity
 from sievework.llm.common import documents, id_text_crc
 
 QUERIES: dict = {}
@@ -78,3 +78,11 @@ def op12_divergence(spark, sf_dir):
 
 QUERIES |= {"op12_divergence": op12_divergence}
 ORACLE_SQL |= {"op12_divergence": divergence.ORACLE}
+
+
+def op13_repair(spark, sf_dir):
+    return repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES |= {"op13_repair": op13_repair}
+ORACLE_SQL |= {"op13_repair": repair.ORACLE}
