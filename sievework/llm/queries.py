@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, divergence, fingerprints, jaccard, language, mixing, packing, quality, repair, sharding, topk, toxicity
+from sievework.llm import chat, divergence, fingerprints, jaccard, language, mixing, packing, quality, ranked, repair, sharding, topk, toxicity
 from sievework.llm.common import documents, id_text_crc
 
 QUERIES: dict = {}
@@ -86,3 +86,11 @@ def op13_repair(spark, sf_dir):
 
 QUERIES |= {"op13_repair": op13_repair}
 ORACLE_SQL |= {"op13_repair": repair.ORACLE}
+
+
+def op11_ranked(spark, sf_dir):
+    return ranked.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES |= {"op11_ranked": op11_ranked}
+ORACLE_SQL |= {"op11_ranked": ranked.ORACLE}
