@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import argparse
 import datetime
-import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,26 +64,32 @@ def earlier(spark: SparkSession, place: str) -> DataFrame:
     return spark.read.parquet(f"{place}/findings").select("rid", "item")
 
 
-def save(text: str, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(text)
+def save(spark: SparkSession, text: str, path: str) -> None:
+    """A report beside the Parquet tables, in whichever file system holds them."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     read = records.parsed(records.read_lines(spark, a.paths, bare_cr=a.kind != "dup"))
     if a.sample > 0:
         read = sampling.fixed_share(read, a.sample, a.seed, "pos", "file")
-    os.makedirs(a.out, exist_ok=True)
     if a.kind == "dup":
         found = neardup.kept(corpora.collected(read, a.record_kind))
-        docs, _ = corpora.documents_of(found)
-        groups = neardup.kept(neardup.deduplicate(docs, a.threshold, a.ngram, a.margin))
-        groups.write.mode("overwrite").parquet(f"{a.out}/groups")
+        docs, names = corpora.documents_of(found)
+        made = neardup.duplicate_groups(docs, a.threshold, a.ngram, a.margin)
+        made.metrics().write.mode("overwrite").parquet(f"{a.out}/groups")
+        corpora.named_members(made.members(), names, docs).write.mode("overwrite").parquet(f"{a.out}/members")
+        groups, members = (spark.read.parquet(f"{a.out}/{x}") for x in ("groups", "members"))
         cells = lambda df: [[str(x) for x in r] for r in df.collect()]
         counts, total = corpora.collection_counts(found), corpora.group_summary(groups)
-        top = groups.orderBy(F.desc("members"), F.desc("saveable"), "root").limit(report.DETAIL_ROWS)
-        parts = [("Documents", counts.columns, cells(counts)), ("Groups", total.columns, cells(total)), ("Largest groups", top.columns, cells(top))]
+        parts = [("Documents", counts.columns, cells(counts)), ("Groups", total.columns, cells(total)), *report.group_tables(groups, members)]
         failed = not groups.isEmpty()
+        neardup.dropped(spark)
     else:
         found, gates, hist = checked_parts(read, a)
         marks = records.bom_files(spark, a.paths)
@@ -97,8 +102,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
             done = O.completion(O.compare_runs(earlier(spark, a.prev), found))
             parts.append(("Since the earlier run", done.columns, [[str(x) for x in r] for r in done.collect()]))
         failed = not O.passed(found, gates)
-    save(report.markdown(a.kind, parts), f"{a.out}/report.md")
-    save(report.page(a.kind, parts), f"{a.out}/report.html")
+    save(spark, report.markdown(a.kind, parts), f"{a.out}/report.md")
+    save(spark, report.page(a.kind, parts), f"{a.out}/report.html")
     return int(failed)
 
 

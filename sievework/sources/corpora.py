@@ -63,8 +63,17 @@ def group_summary(groups: DataFrame) -> DataFrame:
     )
 
 
-def previews(groups: DataFrame, members: DataFrame, names: DataFrame, docs: DataFrame, most: int = 20, chars: int = 60) -> DataFrame:
-    """(root, id, file, rid, preview) of the members of the `most` largest groups, for a report."""
-    top = groups.orderBy(F.desc("members"), F.desc("saveable"), "root").limit(most).select("root")
-    inside = members.join(F.broadcast(top), "root").select("root", F.col("node").alias("id"))
-    return inside.join(names, "id").join(docs.select("id", F.left("norm", F.lit(chars)).alias("preview")), "id")
+def preview(norm: Column, chars: int = 80) -> Column:
+    """The beginning of a text, with an ellipsis where there is more."""
+    return F.when(F.length(norm) > chars, F.concat(F.left(norm, F.lit(chars)), F.lit("…"))).otherwise(norm)
+
+
+def named_members(members: DataFrame, names: DataFrame, docs: DataFrame) -> DataFrame:
+    """(root, place, id, file, rid, chars, copy_of, jaccard, preview) of neardup.group_members, by documents_of's names and texts."""
+    shown = docs.select("id", preview(F.col("norm")).alias("preview"))
+    return members.join(names, "id").join(shown, "id").select("root", "place", "id", "file", "rid", "chars", "copy_of", "jaccard", "preview")
+
+
+def largest_groups(groups: DataFrame, most: int) -> DataFrame:
+    """The `most` largest of the groups, by members, saved characters and root."""
+    return groups.orderBy(F.desc("members"), F.desc("saveable"), "root").limit(most)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import html
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sievework.operators.findings import item_summary
+from sievework.sources import corpora
 
 #: Rows that a report's tables show at most; the Parquet table has them all.
 DETAIL_ROWS = 400
@@ -56,6 +58,17 @@ def tables(findings: DataFrame, gates: DataFrame, hist: DataFrame, advice: dict[
     ]
 
 
+def group_tables(groups: DataFrame, members: DataFrame, most: int = 20, each: int = 20) -> list[tuple[str, list[str], list[list[str]]]]:
+    """(title, header, rows) of the largest groups, each with its first members; all of both are in Parquet."""
+    top = corpora.largest_groups(groups, most)
+    held: dict = {}
+    for m in members.filter(F.col("place") <= each).join(F.broadcast(top.select("root")), "root").orderBy("root", "place").collect():
+        held.setdefault(m.root, []).append([str(m.place), m.file.rsplit("/", 1)[-1], m.rid, f"{m.chars:,}", "" if m.copy_of is None else "copy", f"{m.jaccard:.3f}", m.preview])
+    header = ["#", "file", "id", "characters", "equal text", "similarity to the first", "beginning"]
+    title = lambda k, g: f"Group {k}: {g.members} documents, {'with equal texts' if g.exact_in else 'near copies'}, largest similarity {g.max_j:.3f}, {g.saveable:,} characters to save"
+    return [(title(k, g), header, held.get(g.root, [])) for k, g in enumerate(top.collect(), 1)]
+
+
 def markdown(title: str, parts: list[tuple[str, list[str], list[list[str]]]]) -> str:
     cell = lambda x: x.replace("|", "\\|").replace("\n", " ")
     out = [f"# {title}", ""]
@@ -72,8 +85,6 @@ def page(title: str, parts: list[tuple[str, list[str], list[list[str]]]]) -> str
 
 def previous_findings(lines: DataFrame) -> DataFrame:
     """(rid, item) scraped from the detail rows of an earlier Markdown report; lines: a text table with column value."""
-    from pyspark.sql import functions as F
-
     rx = r"^\| (.+?) \| (ERROR|WARN) \| (\S+) \| .*\|$"
     hit = lines.select(F.regexp_extract("value", rx, 1).alias("rid"), F.regexp_extract("value", rx, 3).alias("item"))
     return hit.filter("rid <> ''").distinct()
