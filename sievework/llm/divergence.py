@@ -35,7 +35,7 @@ BLANK = "[\\x20\\x09-\\x0D]"
 BLANK_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = "[#*$%&|<>]"
 PUNCTUATION = ".,;:!?'\"()-"
-CLASSES = ("[a-z]", "[A-Z]", "[0-9]", BLANK, "[.,;:!?'\"()-]", "[#*$%&|<>]", "[\\u0080-\\u024F]")
+CLASSES = ("[a-z]", "[A-Z]", "[0-9]", BLANK, "[.,;:!?'\"()-]", SYMBOLS, "[\\u0080-\\u024F]")
 WINDOW = 5
 COMMON, COMMON_SHARE = 24, 0.001
 LEAST_CHARS, LEAST_WORDS, LANGUAGE_WORDS = 200, 50, 10_000
@@ -51,10 +51,10 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
 
 
-def spaced_words(text: Column) -> Column:
-    """The lower-cased text without blanks and PUNCTUATION, each of which becomes two spaces, as do both ends."""
-    marks = BLANK_CHARS + PUNCTUATION
-    return F.replace(F.concat(F.lit(" "), F.translate(F.lower(text), marks, " " * len(marks)), F.lit(" ")), F.lit(" "), F.lit("  "))
+def spaced_words(words: Column) -> Column:
+    """The lower-cased words, parted by two spaces at each blank and PUNCTUATION, with two at both ends."""
+    gap = F.lit("  ")
+    return F.concat(gap, F.regexp_replace(F.lower(F.array_join(words, "  ")), f"[{PUNCTUATION}]+", "  "), gap)
 
 
 def class_counts(text: Column) -> Column:
@@ -73,7 +73,8 @@ def repeated_words(words: Column) -> Column:
     """Words that lie in a window of five found twice or more."""
 
     def windows(of: Callable[..., Column]) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW), lambda i: of(i, *[F.get(words, i + k) for k in range(WINDOW)]))
+        # The last words begin no window; get() gives NULL beyond the end.
+        return F.slice(F.transform(words, lambda w, i: of(i, w, *[F.get(words, i + k) for k in range(1, WINDOW)])), 1, F.size(words) - (WINDOW - 1))
 
     def covered(starts: Column) -> Column:
         steps = F.zip_with(starts, F.slice(starts, 2, F.size(starts)), lambda a, b: F.least(F.lit(WINDOW), b - a))
@@ -117,7 +118,7 @@ def references(docs: DataFrame, common: int = COMMON, language_words: int = LANG
     """
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.col("lang").isNull().alias("none"), text.alias("text"))
-    words = keyed.select("lang", "none", F.explode(F.split(spaced_words(F.col("text")), " +")).alias("key")).filter("key <> ''")
+    words = keyed.select("lang", "none", F.explode(F.split(spaced_words(words_of(F.col("text"))), " +")).alias("key")).filter("key <> ''")
     counts = written(words.groupBy("lang", "none", "key").agg(F.count("*").alias("n")))
     totals = counts.groupBy("lang", "none").agg(F.sum("n").alias("all")).filter(F.col("all") >= language_words)
     often = counts.join(sized(totals), ["lang", "none"]).filter(F.col("n") >= F.col("all") * COMMON_SHARE)
@@ -131,6 +132,11 @@ def references(docs: DataFrame, common: int = COMMON, language_words: int = LANG
     )
 
 
+def pattern(word: Column) -> Column:
+    """The word between spaces as a regular expression."""
+    return F.concat(F.lit(" "), F.regexp_replace(word, r"([^\p{L}\p{N}])", r"\\$1"), F.lit(" "))
+
+
 def measured(
     docs: DataFrame, refs: DataFrame, least_chars: int = LEAST_CHARS, least_words: int = LEAST_WORDS, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT
 ) -> tuple[DataFrame, str]:
@@ -139,14 +145,13 @@ def measured(
     References are broadcast while they are few; beyond that they are joined by shuffle.
     """
     name, lang = free_name(docs, "measures"), free_name(docs, "reference")
-    own = refs.select(F.col("lang").alias(f"{lang}_lang"), F.struct("common", "words", "classes").alias(lang))
+    own = refs.select(F.col("lang").alias(f"{lang}_lang"), F.struct(F.transform("common", pattern).alias("patterns"), "words", "classes").alias(lang))
     rows = docs.join(sized(own), docs["lang"].eqNullSafe(own[f"{lang}_lang"]), "left")
     text, ref = F.coalesce(docs["text"], F.lit("")), F.col(lang)
 
     def common_counts(said: Column) -> Column:
-        """Of each common word and of all others, from words with a space on both sides: by what the text loses without the word."""
-        lost = lambda w: F.length(said) - F.length(F.replace(said, w, F.lit("")))
-        each = F.transform(ref["common"], lambda w: (lost(F.concat(F.lit(" "), w, F.lit(" "))) / (F.length(w) + 2)).cast("long"))
+        """Of each common word and of all others; each word has two spaces on both sides, so matches don't overlap."""
+        each = F.transform(ref["patterns"], lambda p: F.regexp_count(said, p).cast("long"))
         return let(each, lambda a: F.concat(a, F.array(F.regexp_count(said, F.lit("[^ ]+")).cast("long") - F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y))))
 
     def word_distance(said: Column) -> Column:
@@ -156,21 +161,24 @@ def measured(
         return let(counts, lambda c: F.when(n(c) >= least_words, distance(divergence(shares(c), shares(ref["words"])) - chance(c))))
 
     def of_words(words: Column) -> Column:
-        return F.struct(F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"), repeated_words(words).cast("long").alias("n_repeat_words"))
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"), repeated_words(words).cast("long").alias("n_repeat_words"),
+            F.when(ref.isNotNull(), let(spaced_words(words), word_distance)).alias("word_distance"),
+        )
+
+    def of_signs(counts: Column) -> Column:
+        far = F.when((F.length(text) >= least_chars) & ref.isNotNull(), distance(divergence(shares(counts), shares(ref["classes"]))))
+        return F.struct(F.get(counts, F.lit(CLASSES.index(SYMBOLS))).alias("n_symbols"), far.alias("class_distance"))
 
-    far = F.when((F.length(text) >= least_chars) & ref.isNotNull(), distance(divergence(shares(class_counts(text)), shares(ref["classes"]))))
-    other = F.when(ref.isNotNull(), let(spaced_words(text), word_distance))
-    symbols = (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS + "+", ""))).cast("long")
-    found = let(words_of(text), of_words)
     whole = let(
-        F.struct(found.alias("w"), symbols.alias("n_symbols"), repeated_lines(text).cast("long").alias("n_dup_lines"), far.alias("class_distance"), other.alias("word_distance")),
+        F.struct(let(words_of(text), of_words).alias("w"), let(class_counts(text), of_signs).alias("c"), repeated_lines(text).cast("long").alias("n_dup_lines")),
         lambda s: let(
             (s["w"]["n_words"] < 10) | (100 * s["w"]["n_repeat_words"] > 20 * s["w"]["n_words"]),
             lambda failed: F.struct(
-                s["w"]["n_words"].alias("n_words"), s["w"]["word_chars"].alias("word_chars"), s["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
+                s["w"]["n_words"].alias("n_words"), s["w"]["word_chars"].alias("word_chars"), s["c"]["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
                 s["w"]["n_repeat_words"].alias("n_repeat_words"), failed.alias("base_failed"),
-                (~failed & (F.coalesce(s["class_distance"], F.lit(0.0)) <= class_limit) & (F.coalesce(s["word_distance"], F.lit(0.0)) <= word_limit)).alias("kept"),
-                s["class_distance"].alias("class_distance"), s["word_distance"].alias("word_distance"),
+                (~failed & (F.coalesce(s["c"]["class_distance"], F.lit(0.0)) <= class_limit) & (F.coalesce(s["w"]["word_distance"], F.lit(0.0)) <= word_limit)).alias("kept"),
+                s["c"]["class_distance"].alias("class_distance"), s["w"]["word_distance"].alias("word_distance"),
             ),
         ),
     )
