@@ -135,19 +135,29 @@ def _features(terms: pa.Array) -> np.ndarray:
     return hashed[coded.indices.to_numpy()] if len(hashed) else np.zeros(0, np.int64)
 
 
+def _stepped(tree: np.ndarray, docs: np.ndarray, features: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Each document's sum of its features' weights at its node."""
+    return np.bincount(docs, weights=tree[node[docs], features], minlength=len(node))
+
+
 def fitted_tree(rows: Iterable[dict]) -> np.ndarray:
-    """Weights (node, feature) of a bisection tree in heap order; a document goes right where its features' weights sum to more than 0."""
+    """Weights (node, feature) of a bisection tree in heap order, the last column being the node's limit; a document goes right where its
+    features' weights sum to more. Limits are medians over the sample's documents at the node, so that leaves are about equal."""
     found = [np.unique(_features(pa.array(r["terms"], pa.string()))) for r in rows]
-    tree = np.zeros((1 << TREE_DEPTH, TREE_FEATURES), np.float32)
+    tree = np.zeros((1 << TREE_DEPTH, TREE_FEATURES + 1), np.float32)
     if not found:
         return tree
     docs, features = np.repeat(np.arange(len(found)), [len(f) for f in found]), np.concatenate(found)
-    leaf = bisected(docs, features, len(found), TREE_DEPTH)
+    leaf, node = bisected(docs, features, len(found), TREE_DEPTH), np.ones(len(found), np.int64)
     for depth in range(TREE_DEPTH):
         child = leaf >> (TREE_DEPTH - depth - 1)
         degrees = np.bincount(child[docs] * TREE_FEATURES + features, minlength=(2 << depth) * TREE_FEATURES).reshape(-1, TREE_FEATURES)
         shares = np.log2((degrees + 1) / (np.bincount(child, minlength=2 << depth)[:, None] + 2))
-        tree[1 << depth : 2 << depth] = shares[1::2] - shares[::2]
+        tree[1 << depth : 2 << depth, :TREE_FEATURES] = shares[1::2] - shares[::2]
+        sums = _stepped(tree, docs, features, node)
+        for k in np.unique(node):
+            tree[k, TREE_FEATURES] = np.median(sums[node == k])
+        node = 2 * node + (sums > tree[node, TREE_FEATURES])
     return tree
 
 
@@ -162,7 +172,7 @@ def routed(counted: DataFrame, tree: np.ndarray) -> DataFrame:
         once = np.unique(docs * TREE_FEATURES + features)
         docs, features = once // TREE_FEATURES, once % TREE_FEATURES
         for _ in range(TREE_DEPTH):
-            node = 2 * node + (np.bincount(docs, weights=weights.value[node[docs], features], minlength=batch.num_rows) > 0)
+            node = 2 * node + (_stepped(weights.value, docs, features, node) > weights.value[node, TREE_FEATURES])
         return batch.append_column("leaf", pa.array(node - (1 << TREE_DEPTH), pa.int32()))
 
     return mapped(counted, one, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counted.schema) + ", leaf int")
