@@ -185,7 +185,7 @@ def index(docs: DataFrame) -> Index:
     h = F.pmod(F.xxhash64("row"), F.lit(1 << 30))
     few = counted.withColumn("h", h).filter(F.col("h") < min(1.0, 2 * SAMPLE_DOCS / max(total, 1)) * (1 << 30))
     tree = trained(few.orderBy("h", "row").limit(SAMPLE_DOCS).select("h", "row", "terms"), ["h", "row"], fitted_tree)
-    placed = routed(counted.withColumn("h", F.xxhash64("row")).drop("row"), tree)
+    placed = written(routed(counted.withColumn("h", F.xxhash64("row")).drop("row"), tree))
     sizes = {r["leaf"]: r["s"] for r in placed.groupBy("leaf").agg(F.sum(F.size("terms")).alias("s")).collect()}  # 2^TREE_DEPTH at most
     cuts = F.array(*[F.lit(-(-sizes.get(leaf, 0) // BUCKET_POSTINGS) or 1) for leaf in range(1 << TREE_DEPTH)])
     kind = docs.schema["doc_id"].dataType.simpleString()
