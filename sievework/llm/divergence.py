@@ -114,18 +114,25 @@ def distance(amount: Column) -> Column:
 def references(docs: DataFrame, common: int = COMMON, language_words: int = LANGUAGE_WORDS) -> DataFrame:
     """(lang, common, words, classes) of every language with enough words: its common words, their counts and that of all others, and its characters.
 
-    Counts add up before they are shuffled; those of words are written, since they are read twice.
+    Words are counted as they are written, before they are shuffled; the counts of lower-cased words and of characters follow from those,
+    so the texts are split once. Both counts are written, since they are read twice.
     """
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.col("lang").isNull().alias("none"), text.alias("text"))
-    words = keyed.select("lang", "none", F.explode(F.split(spaced_words(words_of(F.col("text"))), " +")).alias("key")).filter("key <> ''")
-    counts = written(words.groupBy("lang", "none", "key").agg(F.count("*").alias("n")))
+    words = keyed.select("lang", "none", F.explode(F.split("text", BLANK + "+")).alias("word")).filter("word <> ''")
+    written_as = written(words.groupBy("lang", "none", "word").agg(F.count("*").alias("n")))
+    plain = F.split(F.regexp_replace(F.lower("word"), f"[{PUNCTUATION}]+", " "), " +")
+    counts = written(written_as.select("lang", "none", "n", F.explode(plain).alias("key")).filter("key <> ''").groupBy("lang", "none", "key").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("lang", "none").agg(F.sum("n").alias("all")).filter(F.col("all") >= language_words)
     often = counts.join(sized(totals), ["lang", "none"]).filter(F.col("n") >= F.col("all") * COMMON_SHARE)
     rank = F.row_number().over(Window.partitionBy("lang", "none").orderBy(F.desc("n"), "key"))
     top = often.withColumn("rank", rank).filter(F.col("rank") <= common).groupBy("lang", "none", "all").agg(F.sort_array(F.collect_list(F.struct("rank", "key", "n"))).alias("top"))
-    signs = keyed.select("lang", "none", class_counts(F.col("text")).alias("c"))
-    classes = signs.groupBy("lang", "none").agg(F.array(*[F.sum(F.get("c", F.lit(i))) for i in range(len(CLASSES) + 1)]).alias("classes"))
+    chars = keyed.groupBy("lang", "none").agg(F.sum(F.length("text")).alias("chars"))
+    signs = written_as.select("lang", "none", "n", class_counts(F.col("word")).alias("c"))
+    inside = signs.groupBy("lang", "none").agg(F.array(*[F.sum(F.get("c", F.lit(i)) * F.col("n")) for i in range(len(CLASSES) + 1)]).alias("c"))
+    # Words hold all characters but blanks.
+    blanks = F.col("chars") - F.aggregate("c", F.lit(0).cast("long"), lambda x, y: x + y)
+    classes = inside.join(chars, ["lang", "none"]).select("lang", "none", F.transform("c", lambda n, i: F.when(i == CLASSES.index(BLANK), blanks).otherwise(n)).alias("classes"))
     rest = F.col("all") - F.aggregate("top.n", F.lit(0).cast("long"), lambda x, y: x + y)
     return top.join(classes, ["lang", "none"]).select(
         F.when(~F.col("none"), F.col("lang")).alias("lang"), F.col("top.key").alias("common"), F.concat("top.n", F.array(rest)).alias("words"), "classes"
@@ -145,14 +152,15 @@ def measured(
     References are broadcast while they are few; beyond that they are joined by shuffle.
     """
     name, lang = free_name(docs, "measures"), free_name(docs, "reference")
-    own = refs.select(F.col("lang").alias(f"{lang}_lang"), F.struct(F.transform("common", pattern).alias("patterns"), "words", "classes").alias(lang))
+    own = refs.select(F.col("lang").alias(f"{lang}_lang"), F.struct(F.transform("common", pattern).alias("patterns"), (F.array_max(F.transform("common", F.length)) + 1).cast("string").alias("longer"), "words", "classes").alias(lang))
     rows = docs.join(sized(own), docs["lang"].eqNullSafe(own[f"{lang}_lang"]), "left")
     text, ref = F.coalesce(docs["text"], F.lit("")), F.col(lang)
 
     def common_counts(said: Column) -> Column:
-        """Of each common word and of all others; each word has two spaces on both sides, so matches don't overlap."""
-        each = F.transform(ref["patterns"], lambda p: F.regexp_count(said, p).cast("long"))
-        return let(each, lambda a: F.concat(a, F.array(F.regexp_count(said, F.lit("[^ ]+")).cast("long") - F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y))))
+        """Of each common word and of all others; each word has two spaces on both sides, so matches don't overlap. Longer words are dropped first."""
+        each = lambda short: F.transform(ref["patterns"], lambda p: F.regexp_count(short, p).cast("long"))
+        found = let(F.regexp_replace(said, F.concat(F.lit("[^ ]{"), ref["longer"], F.lit(",}")), F.lit("")), each)
+        return let(found, lambda a: F.concat(a, F.array(F.regexp_count(said, F.lit("[^ ]+")).cast("long") - F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y))))
 
     def word_distance(said: Column) -> Column:
         counts, bins = common_counts(said), F.size(ref["words"])
