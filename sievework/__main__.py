@@ -18,6 +18,9 @@ from sievework.operators import neardup, sampling
 from sievework.plans import blog, commit, deep, qa
 from sievework.sources import corpora, records, report
 
+#: Of a folder, the files that are delivered data: names that are taken and, among them, those that are left out; fixed values.
+SOURCES = {"blog": ("blog_data_*.jsonl", ()), "commit": ("*.jsonl", ("rejected.jsonl",))}
+
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="sievework", description="Quality checks of text corpora.")
@@ -75,10 +78,12 @@ def save(spark: SparkSession, text: str, path: str) -> None:
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
-    read = records.parsed(records.read_lines(spark, a.paths, bare_cr=a.kind != "dup"))
+    glob, skip = SOURCES.get(a.kind, ("*.jsonl", ()))
+    read = records.parsed(records.read_lines(spark, a.paths, glob, skip, bare_cr=a.kind != "dup"))
     if a.sample > 0:
         read = sampling.fixed_share(read, a.sample, a.seed, "pos", "file")
     if a.kind == "dup":
+        records.require_utf8(read)
         found = neardup.kept(corpora.collected(read, a.record_kind))
         docs, names = corpora.documents_of(found)
         made = neardup.duplicate_groups(docs, a.threshold, a.ngram, a.margin)
@@ -92,7 +97,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         neardup.dropped(spark)
     else:
         found, gates, hist = checked_parts(read, a)
-        marks = records.bom_files(spark, a.paths)
+        marks = records.bom_files(spark, a.paths, glob)
         files = records.file_findings(read, marks).select("file", F.col("line_no").alias("pos"), "rid", "level", "item", "detail")
         for name, df in (("findings", found.unionByName(files)), ("gates", gates), ("histograms", hist)):
             df.write.mode("overwrite").parquet(f"{a.out}/{name}")

@@ -175,17 +175,33 @@ def _judge(kind: str) -> Callable[..., Column]:
     return judge
 
 
-def with_personal(df: DataFrame, text: str) -> DataFrame:
-    """df with emails and phones, arrays of the hits (value, start, pre, post) in a text column that nothing excuses."""
+def judged(df: DataFrame, text: str) -> DataFrame:
+    """df with emails and phones, arrays of struct<hit<value,start,pre,post>,why> of all that look so in a text column.
+
+    why is empty for a hit that nothing excuses. Only texts with a hit whose value alone doesn't excuse it go to Python.
+    """
     c = F.col(text)
-    found = {"emails": F.filter(matches(c, P.EMAIL), lambda m: pii.real_email(m["value"])), "phones": F.filter(matches(c, P.PHONE), lambda m: ~pii.made_up_phone(m["value"]))}
+    plain = {"emails": (P.EMAIL, "not a real address", pii.real_email), "phones": (P.PHONE, "made up", lambda v: ~pii.made_up_phone(v))}
     # The hits are columns of their own below the Python function, which takes plain columns only.
-    hits = df.withColumns(found)
-    some = {k: F.size(k) > 0 for k in found}
-    why = {f"_{k}_why": _judge(kind)(F.when(some[k], c), F.when(some[k], F.col(k)["value"]), F.when(some[k], F.col(k)["start"])) for k, kind in (("emails", "email"), ("phones", "phone"))}
-    judged = hits.withColumns(why)
-    own = {k: F.transform(F.filter(F.arrays_zip(F.col(k).alias("hit"), F.coalesce(f"_{k}_why", F.array().cast("array<string>")).alias("why")), lambda x: x["why"] == ""), lambda x: x["hit"]) for k in found}
-    return judged.withColumns(own).drop(*why)
+    hits = df.withColumns({f"_{k}": matches(c, rx) for k, (rx, _, _) in plain.items()})
+    fitting = lambda k, fine: F.filter(f"_{k}", lambda m: fine(m["value"]))
+    hits = hits.withColumns({f"_{k}_open": fitting(k, fine) for k, (_, _, fine) in plain.items()})
+    some = {k: F.size(f"_{k}_open") > 0 for k in plain}
+    why = {f"_{k}_why": _judge(kind)(F.when(some[k], c), F.when(some[k], F.col(f"_{k}_open")["value"]), F.when(some[k], F.col(f"_{k}_open")["start"])) for k, kind in (("emails", "email"), ("phones", "phone"))}
+    told = hits.withColumns(why)
+
+    def named(k: str, excuse: str, fine: Callable[[Column], Column]) -> Column:
+        # The function's result stays outside of lambdas, where it couldn't be taken out again.
+        asked = F.transform(F.arrays_zip(F.col(f"_{k}_open").alias("hit"), F.coalesce(f"_{k}_why", F.array().cast("array<string>")).alias("why")), lambda x: F.struct(x["hit"].alias("hit"), x["why"].alias("why")))
+        return F.concat(asked, F.transform(F.filter(f"_{k}", lambda m: ~fine(m["value"])), lambda m: F.struct(m.alias("hit"), F.lit(excuse).alias("why"))))
+
+    return told.withColumns({k: named(k, excuse, fine) for k, (_, excuse, fine) in plain.items()}).drop(*[f"_{k}{x}" for k in plain for x in ("", "_open", "_why")])
+
+
+def with_personal(df: DataFrame, text: str) -> DataFrame:
+    """df with emails and phones, arrays of the hits (value, start, pre, post) in a text column that nothing excuses."""
+    own = {k: F.transform(F.filter(k, lambda x: x["why"] == ""), lambda x: x["hit"]) for k in ("emails", "phones")}
+    return judged(df, text).withColumns(own)
 
 
 def configured_ip(m: Column) -> Column:

@@ -60,47 +60,61 @@ def article_cards(text: Column, as_of: str) -> Column:
     return F.filter(F.regexp_extract_all(brace_free, F.lit(P.ID_CARD), F.lit(0)), lambda v: F.substring(v, 7, 4).cast("int").between(1900, int(as_of[:4])))
 
 
-def id_cards(text: Column) -> Column:
-    """Matches of ID-card numbers in prose: province, month and day are valid and no date, decimals or other long number is near."""
-    found = matches(F.regexp_replace(text, P.NUMBER_CONTEXT, " "), P.ID_CARD, 200)
+def first_reason(*tests: tuple[str, Column]) -> Column:
+    """The name of the first test that holds, empty where none does."""
+    out = F
+    for name, test in tests:
+        out = out.when(F.coalesce(test, F.lit(False)), name)
+    return out.otherwise("")
+
+
+def id_card_reason(m: Column) -> Column:
+    """Why a number of an ID card's form is none: province, month and day must be valid and no date, decimals or other long number near."""
+    near = F.concat(F.right(m["pre"], F.lit(40)), m["value"], F.left(m["post"], F.lit(40)))
+    wide = F.concat(m["pre"], m["value"], m["post"])
+    others = F.filter(F.regexp_extract_all(wide, F.lit(r"(?<![0-9.])\d{15,}(?![0-9.])"), F.lit(0)), lambda o: o != m["value"])
+    return first_reason(
+        ("province", ~_in(F.substring(m["value"], 1, 2), P.PROVINCES)),
+        ("day", ~F.substring(m["value"], 13, 2).cast("int").between(1, 31)),
+        ("date or time near", near.rlike(r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}:\d{2}:\d{2}\b")),
+        ("long number near", F.size(others) > 0),
+        ("decimals near", F.regexp_count(wide, F.lit(r"(?<!\d)\d+\.\d{2,}(?!\d)")) >= 2),
+    )
 
-    def counts(m: Column) -> Column:
-        near = F.concat(F.right(m["pre"], F.lit(40)), m["value"], F.left(m["post"], F.lit(40)))
-        wide = F.concat(m["pre"], m["value"], m["post"])
-        others = F.filter(F.regexp_extract_all(wide, F.lit(r"(?<![0-9.])\d{15,}(?![0-9.])"), F.lit(0)), lambda o: o != m["value"])
-        day = F.substring(m["value"], 13, 2).cast("int")
-        return (
-            _in(F.substring(m["value"], 1, 2), P.PROVINCES)
-            & day.between(1, 31)
-            & ~near.rlike(r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}:\d{2}:\d{2}\b")
-            & (F.size(others) == 0)
-            & (F.regexp_count(wide, F.lit(r"(?<!\d)\d+\.\d{2,}(?!\d)")) < 2)
-        )
 
-    return F.filter(found, counts)
+def id_card_matches(text: Column) -> Column:
+    """Matches of the form of an ID card; contexts of plain numbers are blanked out, so offsets are those of that text."""
+    return matches(F.regexp_replace(text, P.NUMBER_CONTEXT, " "), P.ID_CARD, 200)
+
+
+def id_cards(text: Column) -> Column:
+    """Matches of ID-card numbers in prose."""
+    return F.filter(id_card_matches(text), lambda m: id_card_reason(m) == "")
 
 
 def luhn(digits: Column) -> Column:
     return F.call_function("luhn_check", digits)
 
 
-def bank_cards(text: Column, test_cards: tuple[str, ...] = P.TEST_CARDS) -> Column:
-    """Matches of card numbers: 13 to 19 digits, Luhn-valid, not inside a name or literal, no plain pattern, no test number,
-    and a payment word within 60 characters. test_cards: published numbers that belong to nobody."""
-
-    def digits(m: Column) -> Column:
-        return F.regexp_replace(m["value"], r"\s", "")
+def bank_card_reason(m: Column, test_cards: tuple[str, ...] = P.TEST_CARDS) -> Column:
+    """Why a number of a card's form is none: inside a name or literal, a plain pattern, a test number, no payment word within
+    60 characters, or a wrong check digit. test_cards: published numbers that belong to nobody."""
+    s, before, after = F.regexp_replace(m["value"], r"\s", ""), F.right(m["pre"], F.lit(1)), F.left(m["post"], F.lit(1))
+    around = F.lower(F.concat(m["pre"], m["value"], m["post"]))
+    places = F.sequence(F.lit(1), F.length(s) - 1)
+    rising = F.forall(places, lambda i: F.pmod(F.substring(s, i + 1, F.lit(1)).cast("int") - F.substring(s, i, F.lit(1)).cast("int"), F.lit(10)) == 1)
+    return first_reason(
+        ("inside a name", before.rlike(r"(?U)[\p{L}_#\"'&:]") | after.rlike(r"(?U)[\p{L}_#\"'&:}]")),
+        ("plain pattern", s.rlike(r"^(\d)\1+$") | s.rlike(r"^(\d)\1{2}(\d)\2{2}") | rising),
+        ("test number", _in(s, test_cards)),
+        ("no payment word", ~(around.rlike(P.PAYMENT_EN) | contains_any(around, P.PAYMENT_CN))),
+        ("check digit", ~luhn(s)),
+    )
 
-    def counts(m: Column) -> Column:
-        s, before, after = digits(m), F.right(m["pre"], F.lit(1)), F.left(m["post"], F.lit(1))
-        around = F.lower(F.concat(m["pre"], m["value"], m["post"]))
-        places = F.sequence(F.lit(1), F.length(s) - 1)
-        rising = F.forall(places, lambda i: F.pmod(F.substring(s, i + 1, F.lit(1)).cast("int") - F.substring(s, i, F.lit(1)).cast("int"), F.lit(10)) == 1)
-        named = before.rlike(r"(?U)[\p{L}_#\"'&:]") | after.rlike(r"(?U)[\p{L}_#\"'&:}]")
-        plain = s.rlike(r"^(\d)\1+$") | s.rlike(r"^(\d)\1{2}(\d)\2{2}") | rising | _in(s, test_cards)
-        return ~named & ~plain & (around.rlike(P.PAYMENT_EN) | contains_any(around, P.PAYMENT_CN)) & luhn(s)
 
-    return F.filter(matches(text, P.CARD, 60), counts)
+def bank_cards(text: Column, test_cards: tuple[str, ...] = P.TEST_CARDS) -> Column:
+    """Matches of card numbers: 13 to 19 digits that bank_card_reason has nothing against."""
+    return F.filter(matches(text, P.CARD, 60), lambda m: bank_card_reason(m, test_cards) == "")
 
 
 def excluded_ip(ip: Column) -> Column:
@@ -114,20 +128,22 @@ def excluded_ip(ip: Column) -> Column:
     return invalid | (F.size(F.array_distinct(parts)) == 1) | documentation | own | ((a == 8) & (b == 8)) | _in(ip, P.TEACHING_IPS)
 
 
+def private_ip_reason(m: Column, own_network: Column) -> Column:
+    """Why a private address needs no masking; own_network: whether the text speaks of the writer's own network."""
+    near = F.lower(F.concat(F.right(m["pre"], F.lit(30)), m["value"], F.left(m["post"], F.lit(30))))
+    return first_reason(
+        ("own network", own_network),
+        ("part of a name", F.left(m["post"], F.lit(1)).rlike(r"^[_\-/.]$")),
+        ("inline code", F.right(m["pre"], F.lit(1)) == "`"),
+        ("documentation net", starts_any(m["value"], P.DOC_NETS) | _in(m["value"], P.DOC_IPS)),
+        ("example", near.rlike(P.EXAMPLE_WORDS)),
+    )
+
+
 def private_ips(text: Column) -> Column:
     """Matches of private addresses in prose, less file names, inline code, documentation nets and talk of one's own network."""
-
-    def counts(m: Column) -> Column:
-        near = F.lower(F.concat(F.right(m["pre"], F.lit(30)), m["value"], F.left(m["post"], F.lit(30))))
-        return (
-            ~F.left(m["post"], F.lit(1)).rlike(r"^[_\-/.]$")
-            & (F.right(m["pre"], F.lit(1)) != "`")
-            & ~starts_any(m["value"], P.DOC_NETS)
-            & ~_in(m["value"], P.DOC_IPS)
-            & ~near.rlike(P.EXAMPLE_WORDS)
-        )
-
-    return F.when(contains_any(F.lower(text), P.OWN_NETWORK), F.filter(matches(text, P.QA_PRIVATE_IP, 120), lambda _: F.lit(False))).otherwise(F.filter(matches(text, P.QA_PRIVATE_IP, 120), counts))
+    own = contains_any(F.lower(text), P.OWN_NETWORK)
+    return F.filter(matches(text, P.QA_PRIVATE_IP, 120), lambda m: private_ip_reason(m, own) == "")
 
 
 def social_masked(value: Column) -> Column:

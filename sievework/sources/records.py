@@ -35,35 +35,43 @@ def numbered(lines: DataFrame) -> DataFrame:
 
 
 def bom_files(spark: SparkSession, paths: list[str] | str, glob: str = "*.jsonl") -> DataFrame:
-    """(file, bom): text readers drop the mark silently, so each file's first three bytes are read through Hadoop, and no more of it."""
-    files = [r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths).select("path").collect()]
-    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for file in files:
-        path = hadoop.Path(file)
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            rows.append((file, [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]))
-        finally:
-            stream.close()
-    return spark.createDataFrame(rows, "file string, bom boolean")
+    """(file, bom) of every file with a line: whether it begins with a byte-order mark.
+
+    Text readers drop the mark silently, so what is missing from a file's size tells: its lines and line ends are three bytes short, or two
+    where the last line has no end. All tasks count alike; no file is opened by the driver. Files must not be compressed.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(paths)
+    sized = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), (F.octet_length("value") + 1).alias("bytes"))
+    return sized.groupBy("file").agg((F.max("size") - F.sum("bytes") >= 2).alias("bom"))
 
 
 def file_findings(read: DataFrame, marks: DataFrame | None = None) -> DataFrame:
-    """(file, line_no, rid, level, item, detail): lines that are no JSON, and files that begin with a byte-order mark; read: parsed()."""
-    found = lambda df, item, detail: df.select("file", F.col("line_no").cast("long").alias("line_no"), F.lit("?").alias("rid"), F.lit("ERROR").alias("level"), F.lit(item).alias("item"), detail.alias("detail"))
-    bad = found(numbered(read).filter("status = 'bad'"), "json_parse", F.left("line", F.lit(60)))
+    """(file, line_no, rid, level, item, detail): lines that are no JSON or no UTF-8, and files that begin with a byte-order mark; read: parsed()."""
+    found = lambda df, item, detail: df.select("file", F.col("line_no").cast("long").alias("line_no"), F.lit("?").alias("rid"), F.lit("ERROR").alias("level"), item.alias("item"), detail.alias("detail"))
+    item = F.when(F.col("status") == "bad", "json_parse").otherwise("not_utf8")
+    bad = found(numbered(read).filter("status in ('bad', 'not_utf8')"), item, F.left(F.make_valid_utf8("line"), F.lit(60)))
     if marks is None:
         return bad
-    return bad.unionByName(found(marks.filter("bom").withColumn("line_no", F.lit(1)), "byte_order_mark", F.lit("UTF-8")))
+    return bad.unionByName(found(marks.filter("bom").withColumn("line_no", F.lit(1)), F.lit("byte_order_mark"), F.lit("UTF-8")))
+
+
+def require_utf8(read: DataFrame) -> None:
+    """Raises where a line isn't UTF-8, naming files and the number of such lines; deduplication takes no part of such a corpus."""
+    broken = read.filter("status = 'not_utf8'").groupBy("file").agg(F.count("*").alias("n")).orderBy("file").limit(10).collect()
+    if broken:
+        raise ValueError("not UTF-8: " + ", ".join(f"{r.file} ({r.n} lines)" for r in broken))
 
 
 def parsed(lines: DataFrame) -> DataFrame:
-    """lines with v (variant, NULL if the line is no JSON), keys (top-level) and status: ok, blank, bad or not_object."""
-    v = F.from_json("line", "variant", PARSE)  # try_parse_json gives NULL for very long strings
+    """lines with v (variant, NULL if the line is no JSON), keys (top-level) and status: ok, blank, bad, not_object or not_utf8.
+
+    A line keeps its bytes up to here and is validated before anything decodes it.
+    """
+    valid = F.is_valid_utf8("line")
+    v = F.when(valid, F.from_json("line", "variant", PARSE))  # try_parse_json gives NULL for very long strings
     blank = F.trim("line") == ""
-    keys = F.array_sort(F.json_object_keys("line"))
-    status = F.when(blank, "blank").when(F.col("v").isNull(), "bad").when(F.col("keys").isNull(), "not_object").otherwise("ok")
+    keys = F.when(valid, F.array_sort(F.json_object_keys("line")))
+    status = F.when(~valid, "not_utf8").when(blank, "blank").when(F.col("v").isNull(), "bad").when(F.col("keys").isNull(), "not_object").otherwise("ok")
     return lines.withColumn("v", v).withColumn("keys", keys).withColumn("status", status)
 
 

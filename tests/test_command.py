@@ -15,12 +15,12 @@ def write(path, rows, start=""):
 def test_articles_end_with_a_report_and_a_status(spark, tmp_path):
     (tmp_path / "in").mkdir()
     good = [{"id": str(i), "content": f"word{i} " * 60, "meta": {**META, "url": f"u{i}", "primary_languages": [f"l{i}"]}} for i in range(4)]
-    write(tmp_path / "in" / "a.jsonl", [*good, {"id": "bad", "content": "short", "meta": {}}, "no json"], "﻿")
+    write(tmp_path / "in" / "blog_data_a.jsonl", [*good, {"id": "bad", "content": "short", "meta": {}}, "no json"], "﻿")
     first, second = str(tmp_path / "one"), str(tmp_path / "two")
     assert command.run(spark, command.arguments(["blog", str(tmp_path / "in"), "--out", first, "--as-of", "2026-09-01"])) == 1
     found = {(r.rid, r.item) for r in spark.read.parquet(first + "/findings").collect()}
     assert found == {("bad", "required_meta"), ("bad", "too_short"), ("?", "json_parse"), ("?", "byte_order_mark")}
-    write(tmp_path / "in" / "a.jsonl", good)
+    write(tmp_path / "in" / "blog_data_a.jsonl", good)
     command.run(spark, command.arguments(["blog", str(tmp_path / "in"), "--out", second, "--as-of", "2026-09-01", "--prev", first, "--no-near-dup"]))
     report = (tmp_path / "two" / "report.md").read_text()
     assert "Since the earlier run" in report and "| 4 | 0 | 0 | 1.0 |" in report and (tmp_path / "two" / "report.html").exists()
@@ -44,3 +44,39 @@ def test_line_ends(spark, tmp_path):
     (tmp_path / "a.jsonl").write_bytes(b'{"id": 1}\r{"id": 2}\r\n{"id": 3}\n')
     lines = lambda **k: [r.line for r in records.numbered(records.read_lines(spark, str(tmp_path), **k)).orderBy("line_no").collect()]
     assert lines(bare_cr=True) == ['{"id": 1}', '{"id": 2}', '{"id": 3}'] and len(lines()) == 2
+
+
+def test_lines_that_are_no_utf8(spark, tmp_path):
+    good, bad = b'{"id": "1", "content": "caf\xc3\xa9"}\n', b'{"id": "2", "content": "caf\xe9"}\n'
+    (tmp_path / "a.jsonl").write_bytes(good + bad + b"\n" + good + b"\xff{\n")
+    (tmp_path / "b.jsonl").write_bytes(b"\xef\xbb\xbf" + good.rstrip())
+    (tmp_path / "c.jsonl").write_bytes(good.replace(b"\n", b"\r\n") + good)
+    read = records.parsed(records.read_lines(spark, str(tmp_path)))
+    assert sorted((r.file[-7:], r.status) for r in read.collect()) == [("a.jsonl", s) for s in ("blank", "not_utf8", "not_utf8", "ok", "ok")] + [("b.jsonl", "ok"), ("c.jsonl", "ok"), ("c.jsonl", "ok")]
+    marks = {r.file[-7:]: r.bom for r in records.bom_files(spark, str(tmp_path)).collect()}
+    assert marks == {"a.jsonl": False, "b.jsonl": True, "c.jsonl": False}
+    found = {(r.file[-7:], r.line_no, r.item) for r in records.file_findings(read, records.bom_files(spark, str(tmp_path))).collect()}
+    assert found == {("a.jsonl", 2, "not_utf8"), ("a.jsonl", 5, "not_utf8"), ("b.jsonl", 1, "byte_order_mark")}
+    with pytest.raises(ValueError, match=r"a\.jsonl \(2 lines\)"):
+        records.require_utf8(read)
+    records.require_utf8(read.filter("file not like '%a.jsonl'"))
+    with pytest.raises(ValueError):
+        command.run(spark, command.arguments(["dup", str(tmp_path), "--out", str(tmp_path / "out")]))
+
+
+def test_folders_leave_out_what_is_not_delivered(spark, tmp_path):
+    for name in ("a.jsonl", "rejected.jsonl", "blog_data_1.jsonl"):
+        (tmp_path / name).write_text('{"id": "x"}\n')
+    seen = lambda kind: sorted(r.file.rsplit("/", 1)[1] for r in records.read_lines(spark, str(tmp_path), *command.SOURCES.get(kind, ("*.jsonl", ()))).collect())
+    assert seen("blog") == ["blog_data_1.jsonl"] and seen("commit") == ["a.jsonl", "blog_data_1.jsonl"] and seen("qa") == ["a.jsonl", "blog_data_1.jsonl", "rejected.jsonl"]
+
+
+def test_members_of_groups_reach_the_report(spark, tmp_path):
+    text = "members of a group are named with their file and their beginning " * 5
+    write(tmp_path / "x.jsonl", [{"id": f"n{i}", "content": t} for i, t in enumerate((text, text, text[:-8] + "changed!", "short"))])
+    out = str(tmp_path / "out")
+    assert command.run(spark, command.arguments(["dup", str(tmp_path / "x.jsonl"), "--out", out])) == 1
+    rows = spark.read.parquet(out + "/members").orderBy("place").collect()
+    assert [(r.place, r.rid, r.copy_of is None) for r in rows] == [(1, "n0", True), (2, "n1", False), (3, "n2", True)] and rows[0].preview.endswith("…")
+    report = (tmp_path / "out" / "report.md").read_text()
+    assert "Group 1: 3 documents, with equal texts" in report and "| 3 | x.jsonl | n2 |" in report
