@@ -39,6 +39,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--exempt-multi-turn", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--exempt-intranet-ip", action=argparse.BooleanOptionalAction, default=False)
     p.add_argument("--fail-on-warn", action="store_true", help="qa: the deep rules count as errors")
+    p.add_argument("--data-class", choices=deep.CLASSES, default="forum", help="qa: what kind of dialogues the deep rules expect")
+    p.add_argument("--recount", metavar="FILE", help="qa: ranked byte merges, by which a share of the records has its tokens counted again; the file lies on every executor")
+    p.add_argument("--recount-share", type=float, default=0.05)
+    p.add_argument("--declared", default="o200k", help="qa: the tokenizer whose records are counted again")
     p.add_argument("--as-of", default=datetime.date.today().isoformat())
     return p.parse_args(argv)
 
@@ -54,9 +58,11 @@ def checked_parts(read: DataFrame, a: argparse.Namespace) -> tuple[DataFrame, Da
         stat = commit.stats(c, int(a.as_of[:4]))
         return O.exploded(c), commit.gate_rows(stat, commit.histograms(c)).unionByName(commit.info_rows(stat)), commit.histograms(c)
     c = qa.check(read, a.exempt_intranet_ip, around=True)
-    more = O.exploded(deep.check(read, "forum", "ERROR" if a.fail_on_warn else "WARN"))
+    more = O.exploded(deep.check(read, a.data_class, "ERROR" if a.fail_on_warn else "WARN"))
+    if a.recount:
+        more = more.unionByName(deep.recount_findings(read, deep.encoding_counter(a.recount), a.recount_share, a.seed, a.declared))
     stat = qa.stats(c)
-    gates = qa.gate_rows(stat, qa.histograms(c), qa.mixed_files(c).count(), near(qa.near_texts(c)), a.exempt_multi_turn).unionByName(qa.info_rows(stat))
+    gates = qa.gate_rows(stat, qa.histograms(c), qa.mixed_files(c).count(), near(qa.near_texts(c)), a.exempt_multi_turn).unionByName(qa.info_rows(stat)).unionByName(qa.time_rows(c))
     return O.exploded(c).unionByName(more), gates, qa.histograms(c)
 
 

@@ -39,16 +39,21 @@ def first_seen(df: DataFrame, key: Column, name: Column, *order: str) -> DataFra
     return joined.withColumn("seen_before", again).drop("_key", "_order", "_first")
 
 
-def histogram(df: DataFrame, **dims: Column) -> DataFrame:
-    """(dim, key, cnt) of several dimensions in one pass."""
-    pairs = F.array(*[F.struct(F.lit(d).alias("dim"), c.cast("string").alias("key")) for d, c in dims.items()])
-    return df.select(F.inline(pairs)).groupBy("dim", "key").agg(F.count("*").alias("cnt"))
+def histogram(df: DataFrame, *order: str, **dims: Column) -> DataFrame:
+    """(dim, key, cnt) of several dimensions in one pass; with columns of an order also first, the place where a key comes first."""
+    pairs = F.inline(F.array(*[F.struct(F.lit(d).alias("dim"), c.cast("string").alias("key")) for d, c in dims.items()]))
+    counted = [F.count("*").alias("cnt")]
+    if not order:
+        return df.select(pairs).groupBy("dim", "key").agg(*counted)
+    return df.select(F.struct(*order).alias("_at"), pairs).groupBy("dim", "key").agg(*counted, F.min("_at").alias("first"))
 
 
 def top_of(hist: DataFrame) -> DataFrame:
-    """(dim, key, cnt, total): the largest entry of each dimension, ties to the smaller key."""
-    best = hist.groupBy("dim").agg(F.max("cnt").alias("cnt"), F.sum("cnt").alias("total"))
-    return hist.join(best, ["dim", "cnt"]).groupBy("dim", "cnt", "total").agg(F.min("key").alias("key")).select("dim", "key", "cnt", "total")
+    """(dim, key, cnt, total): the largest entry of each dimension in one pass, ties to the key that came first, or where the histogram
+    has no order to the smaller key (NULL last)."""
+    tie = F.col("first") if "first" in hist.columns else F.struct(F.col("key").isNull(), "key")
+    best = hist.groupBy("dim").agg(F.min_by(F.struct("key", "cnt"), F.struct((-F.col("cnt")).alias("n"), tie.alias("tie"))).alias("best"), F.sum("cnt").alias("total"))
+    return best.select("dim", "best.key", "best.cnt", "total")
 
 
 def item_summary(findings: DataFrame) -> DataFrame:

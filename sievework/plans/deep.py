@@ -131,3 +131,10 @@ def token_recount(records: DataFrame, make_counter: Callable[[], Callable[[str],
 
     again = rows.withColumn("question_recount", counted("q")).withColumn("answer_recount", counted("a")).drop("q", "a")
     return again.filter(~F.col("question_tokens").eqNullSafe(F.col("question_recount").cast("double")) | ~F.col("answer_tokens").eqNullSafe(F.col("answer_recount").cast("double")))
+
+
+def recount_findings(records: DataFrame, make_counter: Callable[[], Callable[[str], int]], share: float = 0.05, seed: int = 20260918, declared: str = "o200k") -> DataFrame:
+    """token_recount as findings (file, pos, rid, level, item, detail)."""
+    off = token_recount(records, make_counter, share, seed, declared)
+    shown = lambda k: F.concat(F.coalesce(F.col(f"{k}_tokens").cast("long").cast("string"), F.lit("none")), F.lit(" for "), F.col(f"{k}_recount").cast("string"))
+    return off.select("file", "pos", "rid", F.lit("WARN").alias("level"), F.lit("token_recount").alias("item"), F.concat(F.lit("question "), shown("question"), F.lit(", answer "), shown("answer")).alias("detail"))

@@ -162,8 +162,8 @@ def near_texts(checked: DataFrame) -> DataFrame:
 
 
 def time_concentration(checked: DataFrame, least: int = 100, share: float = 0.05) -> DataFrame:
-    """(question_time, cnt, total) if one time holds over 5 % of at least 100 records; a missing time counts as None."""
-    counts = O.top_of(O.histogram(checked, question_time=F.col("question_time")))
+    """(question_time, cnt, total) if one time holds over 5 % of at least 100 records; a missing time counts as None, and of equals the first counts."""
+    counts = O.top_of(O.histogram(checked, "file", "pos", question_time=F.col("question_time")))
     return counts.filter((F.col("total") >= least) & (F.col("cnt") / F.col("total") > share)).select(F.col("key").alias("question_time"), "cnt", "total")
 
 
@@ -197,4 +197,10 @@ def info_rows(stat: DataFrame) -> DataFrame:
     return stat.select(F.inline(F.array(row("syntax", "SKIP", none), row("tokens", "PASS", F.col("tokens")))))
 
 
-__all__ = ["info_rows", "check", "derived", "gate_rows", "histograms", "missing", "mixed_files", "near_texts", "privacy", "public_set", "stats", "time_concentration"]
+def time_rows(checked: DataFrame) -> DataFrame:
+    """time_concentration as a row of the gates: WARN with the share of the one time, no row where none stands out."""
+    share = F.col("cnt") / F.col("total") * 100
+    return time_concentration(checked).select(F.lit("shared_time").alias("gate"), F.lit("WARN").alias("level"), share.alias("value"), F.lit(5.0).alias("threshold"), F.col("cnt").alias("numer"), F.col("total").alias("denom"))
+
+
+__all__ = ["time_rows", "info_rows", "check", "derived", "gate_rows", "histograms", "missing", "mixed_files", "near_texts", "privacy", "public_set", "stats", "time_concentration"]

@@ -116,6 +116,14 @@ def top_values(spark, sf_dir):
     return O.top_of(corpus_histogram(spark, sf_dir))
 
 
+def top_first(spark, sf_dir):
+    """The most frequent length of a text in hundreds, first word and first character of each language; of equals the one that comes first."""
+    docs = table(spark, sf_dir, "documents")
+    word = F.regexp_extract("text", r"[^\s]+", 0)
+    by = {"hundreds": F.floor(F.length("text") / 100), "word": word, "pair": F.left(word, F.lit(2))}
+    return O.top_of(O.histogram(docs, "doc_id", **{k: F.concat_ws(" ", F.col("lang"), v.cast("string")) for k, v in by.items()})).unionByName(O.top_of(O.histogram(docs.filter("doc_id is not null"), "doc_id", chars=F.length("text"))))
+
+
 def token_estimate(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", estimated_tokens(F.col("text")).alias("tokens"))
 
@@ -172,7 +180,7 @@ def bernoulli_sample(spark, sf_dir):
 QUERIES = {
     "blog_findings": blog_findings, "blog_privacy": blog_privacy, "blog_gates": blog_gates, "qa_findings": qa_findings, "qa_duplicates": qa_duplicates, "qa_gates": qa_gates, "qa_deep_findings": qa_deep_findings,
     "commit_proofs": commit_proofs, "commit_findings": commit_findings, "commit_gates": commit_gates, "first_seen_bodies": first_seen_bodies,
-    "corpus_histogram": corpus_histogram, "top_values": top_values, "token_estimate": token_estimate, "tail_rules": tail_rules, "article_emails": article_emails, "luhn_numbers": luhn_numbers, "escaped_pages": escaped_pages,
+    "corpus_histogram": corpus_histogram, "top_values": top_values, "top_first": top_first, "token_estimate": token_estimate, "tail_rules": tail_rules, "article_emails": article_emails, "luhn_numbers": luhn_numbers, "escaped_pages": escaped_pages,
     "url_duplicates": url_duplicates, "label_gate": label_gate, "time_share": time_share, "run_comparison": run_comparison, "fixed_sample": fixed_sample, "bernoulli_sample": bernoulli_sample,
 }
 
@@ -208,3 +216,6 @@ SELECT doc_id, digits, list_sum(list_transform(range(0, length(digits)), lambda
     "fixed_sample": "SELECT source, greatest(1, round_even(count(*) * 10 / 100, 0))::BIGINT AS sampled FROM documents GROUP BY source",
     "qa_duplicates": f"WITH {_TURNS}, e AS (SELECT conv_id, len(list_filter(m, lambda x: trim(x.a) = '')) > 0 AS empty, min(conv_id) OVER (PARTITION BY m::VARCHAR) AS f FROM q) SELECT * FROM (SELECT 'answer_empty' AS item, count(*) FILTER (empty) AS cnt FROM e UNION ALL SELECT 'message_duplicate', count(*) FILTER (f <> conv_id) FROM e) WHERE cnt > 0",
 }
+_KEYS = r"""SELECT doc_id, unnest(['hundreds', 'word', 'pair', 'chars']) AS dim, unnest([lang || ' ' || (length(text) // 100), lang || ' ' || regexp_extract(text, '[^\s]+'), lang || ' ' || left(regexp_extract(text, '[^\s]+'), 2), length(text)::VARCHAR]) AS key FROM documents"""
+ORACLE_SQL["top_first"] = f"""SELECT dim, key, cnt, total FROM (SELECT dim, key, count(*) AS cnt, (sum(count(*)) OVER (PARTITION BY dim))::BIGINT AS total,
+  row_number() OVER (PARTITION BY dim ORDER BY count(*) DESC, min(doc_id)) AS place FROM ({_KEYS}) GROUP BY dim, key) WHERE place = 1"""

@@ -80,3 +80,27 @@ def test_members_of_groups_reach_the_report(spark, tmp_path):
     assert [(r.place, r.rid, r.copy_of is None) for r in rows] == [(1, "n0", True), (2, "n1", False), (3, "n2", True)] and rows[0].preview.endswith("…")
     report = (tmp_path / "out" / "report.md").read_text()
     assert "Group 1: 3 documents, with equal texts" in report and "| 3 | x.jsonl | n2 |" in report
+
+
+def test_ties_go_to_what_came_first(spark):
+    from pyspark.sql import functions as F
+
+    from sievework.operators import findings as O
+
+    df = spark.createDataFrame([("f", 3, "b"), ("f", 1, "c"), ("f", 2, "a"), ("f", 5, "a"), ("f", 4, "c"), ("h", 0, None)], "file string, pos long, v string")
+    top = lambda h: [tuple(r) for r in O.top_of(h).collect()]
+    assert top(O.histogram(df, "file", "pos", v=F.col("v"))) == [("v", "c", 2, 6)]
+    assert top(O.histogram(df, v=F.col("v"))) == [("v", "a", 2, 6)]
+
+
+def test_recount_and_shared_times_of_dialogues(spark, tmp_path):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    meta = {"tokenizer": "openai/o200k_base", "question_time": "2024-01-01", "answer_time": "2024-01-02", "question_tokens": 1, "answer_tokens": 900, "primary_language": "c", "type": "x"}
+    rows = [{"id": f"QA_2026_{i}", "message": [{"question": f"why {i}?", "answer": f"so it is {i}."}], "source": "forum", "domain": ["c"], "cleaning_status": {}, "metadata": meta} for i in range(120)]
+    write(tmp_path / "q.jsonl", rows)
+    out = str(tmp_path / "out")
+    command.run(spark, command.arguments(["qa", str(tmp_path / "q.jsonl"), "--out", out, "--no-near-dup", "--data-class", "code", "--recount", str(tokenizers.path("byte_bpe_50k.tiktoken")), "--recount-share", "1"]))
+    found = spark.read.parquet(out + "/findings")
+    assert found.filter("item = 'token_recount'").count() == 120
+    gate, = spark.read.parquet(out + "/gates").filter("gate = 'shared_time'").collect()
+    assert (gate.level, gate.value, gate.numer, gate.denom) == ("WARN", 100.0, 120, 120)
