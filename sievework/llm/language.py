@@ -197,13 +197,14 @@ def predict(docs: DataFrame, net: BiGru | None) -> DataFrame:
 def learning_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """(lang, h, doc_id, text): of each language at most so many rows, those with the smallest hashes.
 
-    Learnable: lang isn't NULL and crc32 of doc_id as text, modulo 4, is not 2. Rows are thinned by their hash before they are ranked.
+    Learnable: lang isn't NULL and crc32 of doc_id as text, modulo 4, is not 2. Rows are thinned by their hash before they are ranked;
+    equal rows share it, so a language's rows with the least hash of those with a letter always stay.
     """
     known = docs.select("doc_id", "text", "lang").filter("lang is not null").filter((id_text_crc("doc_id") % 4 != 2) | F.col("doc_id").isNull())
-    counts = known.groupBy("lang").agg(F.count("*").alias("rows"))
     h = F.xxhash64("doc_id", "text")
+    counts = known.groupBy("lang").agg(F.count("*").alias("rows"), F.min(F.when(F.col("text").rlike(r"\p{L}"), h)).alias("least"))
     share = 2.0 * per_language / F.col("rows")
-    thinned = known.join(sized(counts), "lang").withColumn("h", h).filter(F.pmod("h", F.lit(1 << 30)) / F.lit(1 << 30) < share)
+    thinned = known.join(sized(counts), "lang").withColumn("h", h).filter((F.pmod("h", F.lit(1 << 30)) / F.lit(1 << 30) < share) | (F.col("h") == F.col("least")))
     ranked = thinned.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text")))
     return ranked.filter(F.col("n") <= per_language).select("lang", "h", "doc_id", "text")
 

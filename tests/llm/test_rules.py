@@ -269,3 +269,12 @@ def test_bisection_halves_and_gathers():
     for levels in (2, 3):
         sizes = np.bincount(ranked.bisected(docs, words, 128, levels), minlength=1 << levels)
         assert sizes.max() - sizes.min() <= 1
+
+
+def test_languages_of_equal_rows_are_learned(spark):
+    """Ten languages of one row repeated many times: each has rows in the learning sample, whatever its hash."""
+    from sievework.llm import language
+
+    rows = [(None, f"words of language {k} only", f"l{k}", "s") for k in range(10) for _ in range(3000)] + [(5, "", "l3", "s"), (6, None, "l4", "s")]
+    sample = language.learning_sample(spark.createDataFrame(rows, DOCS)).groupBy("lang").count().collect()
+    assert {r.lang for r in sample} == {f"l{k}" for k in range(10)} and all(r["count"] <= language.PER_LANGUAGE for r in sample)
