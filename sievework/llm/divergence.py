@@ -72,9 +72,15 @@ def class_counts(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that lie in a window of five found twice or more."""
 
-    def windows(of: Callable[..., Column]) -> Column:
-        # The last words begin no window; get() gives NULL beyond the end.
-        return F.slice(F.transform(words, lambda w, i: of(i, w, *[F.get(words, i + k) for k in range(1, WINDOW)])), 1, F.size(words) - (WINDOW - 1))
+    def paired(left: Column, right: Column, by: int) -> Column:
+        """Hashes of left and of what right has `by` places further on; right's last places make no pair."""
+        return F.zip_with(F.slice(left, 1, F.size(right) - by), F.slice(right, by + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
+
+    def hashes(seed: int | None) -> Column:
+        """Of every window: of single words, then of two, four and five."""
+        first = [] if seed is None else [F.lit(seed)]
+        one = F.transform(words, lambda w: F.xxhash64(*first, w))
+        return let(one, lambda h: let(paired(h, h, 1), lambda two: paired(paired(two, two, 2), h, WINDOW - 1)))
 
     def covered(starts: Column) -> Column:
         steps = F.zip_with(starts, F.slice(starts, 2, F.size(starts)), lambda a, b: F.least(F.lit(WINDOW), b - a))
@@ -85,9 +91,14 @@ def repeated_words(words: Column) -> Column:
         twice = F.transform(of, lambda s, j: F.when(same(s, j - 1) | same(s, j + 1), s["i"]))
         return F.sort_array(F.filter(twice, lambda i: i.isNotNull()))
 
-    wide = windows(lambda i, *w: F.struct(F.xxhash64(*w).alias("h"), F.xxhash64(F.lit(WINDOW), *w).alias("g"), i.alias("i")))
-    some = let(windows(lambda _, *w: F.xxhash64(*w)), lambda h: F.size(F.array_distinct(h)) < F.size(h))
-    return F.when((F.size(words) > WINDOW) & some, let(F.sort_array(wide), lambda p: let(starts(p), covered))).otherwise(F.lit(0))
+    def wide(plain: Column) -> Column:
+        return F.zip_with(F.transform(plain, lambda h, i: F.struct(h.alias("h"), i.alias("i"))), hashes(WINDOW), lambda s, g: F.struct(s["h"].alias("h"), g.alias("g"), s["i"].alias("i")))
+
+    def counted(plain: Column) -> Column:
+        twice = F.size(F.array_distinct(plain)) < F.size(plain)
+        return F.when(twice, let(F.sort_array(wide(plain)), lambda p: let(starts(p), covered))).otherwise(F.lit(0))
+
+    return F.when(F.size(words) > WINDOW, let(hashes(None), counted)).otherwise(F.lit(0))
 
 
 def repeated_lines(text: Column) -> Column:
