@@ -150,11 +150,6 @@ def references(docs: DataFrame, common: int = COMMON, language_words: int = LANG
     )
 
 
-def pattern(word: Column) -> Column:
-    """The word between spaces as a regular expression."""
-    return F.concat(F.lit(" "), F.regexp_replace(word, r"([^\p{L}\p{N}])", r"\\$1"), F.lit(" "))
-
-
 def measured(
     docs: DataFrame, refs: DataFrame, least_chars: int = LEAST_CHARS, least_words: int = LEAST_WORDS, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT
 ) -> tuple[DataFrame, str]:
@@ -163,15 +158,23 @@ def measured(
     References are broadcast while they are few; beyond that they are joined by shuffle.
     """
     name, lang = free_name(docs, "measures"), free_name(docs, "reference")
-    own = refs.select(F.col("lang").alias(f"{lang}_lang"), F.struct(F.transform("common", pattern).alias("patterns"), (F.array_max(F.transform("common", F.length)) + 1).cast("string").alias("longer"), "words", "classes").alias(lang))
+    own = refs.select(F.col("lang").alias(f"{lang}_lang"), F.struct(F.transform("common", lambda w: F.concat(F.lit(" "), w, F.lit(" "))).alias("spaced"), (F.array_max(F.transform("common", F.length)) + 1).cast("string").alias("longer"), "words", "classes").alias(lang))
     rows = docs.join(sized(own), docs["lang"].eqNullSafe(own[f"{lang}_lang"]), "left")
     text, ref = F.coalesce(docs["text"], F.lit("")), F.col(lang)
 
     def common_counts(said: Column) -> Column:
-        """Of each common word and of all others; each word has two spaces on both sides, so matches don't overlap. Longer words are dropped first."""
-        each = lambda short: F.transform(ref["patterns"], lambda p: F.regexp_count(short, p).cast("long"))
-        found = let(F.regexp_replace(said, F.concat(F.lit("[^ ]{"), ref["longer"], F.lit(",}")), F.lit("")), each)
-        return let(found, lambda a: F.concat(a, F.array(F.regexp_count(said, F.lit("[^ ]+")).cast("long") - F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y))))
+        """Of each common word and of all others. Words longer than any common one become a mark that no word can be; each common word is
+        then taken out in turn, which leaves two spaces between those beside it, and the bytes that went tell how often it stood there."""
+        size = F.octet_length
+        others = lambda rest: F.array(F.regexp_count(rest, F.lit("[^ ]+")).cast("long"))
+
+        def less(acc: Column, word: Column) -> Column:
+            n = lambda rest: F.concat(acc["n"], F.array(((size(acc["rest"]) - size(rest)) / size(word)).cast("long")))
+            return let(F.replace(acc["rest"], word, F.lit("")), lambda rest: F.struct(rest.alias("rest"), n(rest).alias("n")))
+
+        short = F.regexp_replace(said, F.concat(F.lit("[^ ]{"), ref["longer"], F.lit(",}")), F.lit(PUNCTUATION[0]))
+        begin = F.struct(short.alias("rest"), F.array().cast("array<long>").alias("n"))
+        return F.aggregate(ref["spaced"], begin, less, lambda acc: F.concat(acc["n"], others(acc["rest"])))
 
     def word_distance(said: Column) -> Column:
         counts, bins = common_counts(said), F.size(ref["words"])
