@@ -1,6 +1,6 @@
 """Command line: ``python -m sievework {blog,commit,qa,dup} PATH... --out FOLDER``. Exit status 1 where an ERROR stands.
 
-Findings, gates and histograms go to Parquet below the folder, a report to report.md and report.html. ``--prev`` takes the
+Findings, gates, histograms and the report's lines go to Parquet below the folder, a report to report.md and report.html. ``--prev`` takes the
 findings of an earlier run (its folder), or a Markdown report, of which only the rows it shows can be compared.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators import findings as O
 from sievework.operators import neardup, sampling
-from sievework.plans import blog, commit, deep, qa
+from sievework.plans import blog, commit, deep, dimensions, qa
 from sievework.sources import corpora, records, report
 
 #: Of a folder, the files that are delivered data: names that are taken and, among them, those that are left out; fixed values.
@@ -47,23 +47,26 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def checked_parts(read: DataFrame, a: argparse.Namespace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Findings, gates and histograms of a corpus."""
+def checked_parts(read: DataFrame, a: argparse.Namespace) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Findings, gates, histograms and report lines of a corpus."""
     near = lambda texts: None if a.no_near_dup else neardup.near_pair_count(texts)
     if a.kind == "blog":
         c = blog.check(read, a.as_of)
-        return O.exploded(c), blog.gate_rows(blog.stats(c), blog.histograms(c), near(blog.near_texts(c))), blog.histograms(c)
+        stat, hist = blog.stats(c), blog.histograms(c)
+        return O.exploded(c), blog.gate_rows(stat, hist, near(blog.near_texts(c))), hist, dimensions.report_rows(stat, hist, dimensions.BLOG)
     if a.kind == "commit":
         c = commit.check(read, not a.no_verify)
         stat = commit.stats(c, int(a.as_of[:4]))
-        return O.exploded(c), commit.gate_rows(stat, commit.histograms(c)).unionByName(commit.info_rows(stat)), commit.histograms(c)
+        hist = commit.histograms(c)
+        return O.exploded(c), commit.gate_rows(stat, hist).unionByName(commit.info_rows(stat)), hist, dimensions.report_rows(stat, hist, dimensions.COMMIT)
     c = qa.check(read, a.exempt_intranet_ip, around=True)
     more = O.exploded(deep.check(read, a.data_class, "ERROR" if a.fail_on_warn else "WARN"))
     if a.recount:
         more = more.unionByName(deep.recount_findings(read, deep.encoding_counter(a.recount), a.recount_share, a.seed, a.declared))
     stat = qa.stats(c)
     gates = qa.gate_rows(stat, qa.histograms(c), qa.mixed_files(c).count(), near(qa.near_texts(c)), a.exempt_multi_turn).unionByName(qa.info_rows(stat)).unionByName(qa.time_rows(c))
-    return O.exploded(c).unionByName(more), gates, qa.histograms(c)
+    hist = qa.histograms(c)
+    return O.exploded(c).unionByName(more), gates, hist, dimensions.report_rows(stat, hist, dimensions.QA)
 
 
 def earlier(spark: SparkSession, place: str) -> DataFrame:
@@ -102,13 +105,13 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         failed = not groups.isEmpty()
         neardup.dropped(spark)
     else:
-        found, gates, hist = checked_parts(read, a)
+        found, gates, hist, dims = checked_parts(read, a)
         marks = records.bom_files(spark, a.paths, glob)
         files = records.file_findings(read, marks).select("file", F.col("line_no").alias("pos"), "rid", "level", "item", "detail")
-        for name, df in (("findings", found.unionByName(files)), ("gates", gates), ("histograms", hist)):
+        for name, df in (("findings", found.unionByName(files)), ("gates", gates), ("histograms", hist), ("dimensions", dims)):
             df.write.mode("overwrite").parquet(f"{a.out}/{name}")
-        found, gates, hist = (spark.read.parquet(f"{a.out}/{x}") for x in ("findings", "gates", "histograms"))
-        parts = report.tables(found, gates, hist)
+        found, gates, hist, dims = (spark.read.parquet(f"{a.out}/{x}") for x in ("findings", "gates", "histograms", "dimensions"))
+        parts = [*report.dimension_tables(dims), *report.tables(found, gates, hist)]
         if a.prev:
             done = O.completion(O.compare_runs(earlier(spark, a.prev), found))
             parts.append(("Since the earlier run", done.columns, [[str(x) for x in r] for r in done.collect()]))

@@ -203,7 +203,7 @@ CODE_WORDS = (
 )
 STRONG_CODE = (
     r"(?mdU)\A[ \t]*#include|int main\(|using namespace std|#ifndef\s|#define\s|public class\s+[A-Za-z_]|import java\.|"
-    r"public static void|^\s*(def |class )\w+.*:|^\s*import \w+.*$|^\s*fn \w+|^\s*let mut |^\s*<\?php"
+    r"public static void|^\s*(def |class )\w+.*:|^\s*import \w+.*$|^\s*fn \w+|^\s*let mut |^\s*<?php"
 )
 # The first language whose mark occurs is the language of code outside fences.
 BARE_CODE = (

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sievework.plans import case_queries, dedup_queries, hits, rule_queries
+from sievework.plans import case_queries, dedup_queries, dimensions, hits, rule_queries
 
-_MODULES = (dedup_queries, rule_queries, case_queries, hits)
+_MODULES = (dedup_queries, rule_queries, case_queries, hits, dimensions)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}

@@ -129,6 +129,7 @@ def stats(checked: DataFrame, this_year: int) -> DataFrame:
         n(F.col("incomplete"))("incomplete"), n(F.col("revert_like"))("revert_like"), n(has("no_logic_change"))("no_logic"), n(has("diff_duplicate"))("diff_dup"), n(has("thin_context"))("thin_context"), n(has("several_cves"))("several_cves"),
         F.coalesce(F.sum("diff_lines"), F.lit(0)).alias("diff_lines"), n(F.col("year").isNotNull())("years"), n(F.col("year") > this_year - RECENT_YEARS)("recent"), F.min("year").alias("first_year"), F.max("year").alias("last_year"),
         n((F.col("before") != "") & (F.col("after") != "") & (F.col("diff") != "") & (F.col("message") != ""))("all_code"), n(F.col("complete"))("complete"),
+        n(has("text_label_language"))("label_language"), n(has("code_polluted") | has("new_file_mark"))("polluted"), n(F.coalesce(text_at("$.meta.cvss_score"), F.lit("")) != "")("scored"),
     )
 
 

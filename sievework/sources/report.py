@@ -58,6 +58,14 @@ def tables(findings: DataFrame, gates: DataFrame, hist: DataFrame, advice: dict[
     ]
 
 
+def dimension_tables(dims: DataFrame) -> list[tuple[str, list[str], list[list[str]]]]:
+    """(title, header, rows) a section of the report's dimensions, in the lines' order; as many rows as the report has lines."""
+    held: dict[str, list[list[str]]] = {}
+    for r in dims.orderBy("place").collect():
+        held.setdefault(r.section, []).append([r.name, r.level, f"{r.numer:,}", f"{r.denom:,}", f"{100 * r.numer / max(r.denom, 1):.2f}"])
+    return [(section.capitalize(), ["check", "level", "count", "of records", "per cent"], rows) for section, rows in held.items()]
+
+
 def group_tables(groups: DataFrame, members: DataFrame, most: int = 20, each: int = 20) -> list[tuple[str, list[str], list[list[str]]]]:
     """(title, header, rows) of the largest groups, each with its first members; all of both are in Parquet."""
     top = corpora.largest_groups(groups, most)
