@@ -22,19 +22,55 @@ def closed_blocks(text: Column) -> Column:
     return F.transform(pairs, lambda p: F.struct(F.regexp_extract(p["a"]["x"], P.CODE_FENCE, 1).alias("lang"), F.array_join(F.slice(rows, p["a"]["i"] + 2, p["b"]["i"] - p["a"]["i"] - 1), "\n").alias("body")))
 
 
-_TOKEN = re.compile(
-    r'(?P<line>(?<!:)(?<!:/)//[^\n]*)|(?P<block>/\*.*?(?:\*/|\Z))|(?P<triple>"""(?:\\.|(?!""").)*"""|\'\'\'(?:\\.|(?!\'\'\').)*\'\'\')'
-    r'|(?P<text>"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\')',
-    re.S,
-)
-_LIFETIME = re.compile(r"'(?=[A-Za-z_])(?![A-Za-z_]')")
+_MARK = re.compile(r'//|/\*|"""|\'\'\'|"|\'')
+_SLASHES = re.compile("/+")
+#: Of each quotation mark, what a literal's reader stops at: an escaped character, the closing mark and, of single ones, the line's end.
+_STOPS = {q: re.compile(rf"\\.|{q}" + ("" if len(q) == 3 else r"|\n"), re.S) for q in ('"""', "'''", '"', "'")}
+
+
+def _literal(code: str, quote: str, at: int) -> tuple[str, int]:
+    """What stays of a literal whose text begins at `at`, and where reading goes on: nothing of a closed one, all text of an open one.
+
+    Text of an open literal is given back as it is, up to the line's end (of a triple mark, to the end of the code): the author forgot
+    a mark, so brackets that follow are code, and so are marks in it, which open nothing.
+    """
+    for stop in _STOPS[quote].finditer(code, at):
+        if stop[0] == quote:
+            return "", stop.end()
+        if stop[0] == "\n":
+            return code[at : stop.start()], stop.start()
+    return code[at:], len(code)
 
 
 def skeleton(code: str, lang: str = "") -> str:
-    """Code without comments and string literals; an unclosed literal stays, and in Rust a lifetime is no literal."""
-    if lang in ("rust", "rs"):
-        code = _LIFETIME.sub("", code)
-    return _TOKEN.sub(lambda m: "\n" * m[0].count("\n") if m["block"] or m["triple"] else "", code)
+    """Code without comments and string literals; an open literal's text stays, and in Rust a lifetime is no literal.
+
+    Reading goes from mark to mark, each of which is passed once, so the time is linear in the code's length.
+    """
+    kept, at, rust = [], 0, lang.lower().startswith("rust")
+    while mark := _MARK.search(code, at):
+        begin, end, sign = *mark.span(), mark[0]
+        kept.append(code[at:begin])
+        if sign == "//":
+            run = _SLASHES.match(code, begin).end()
+            if code[begin - 1 : begin] == ":":  # an address; none of its slashes opens anything but the last, before a star
+                at = run - 1
+                kept.append(code[begin:at])
+                if code[at : at + 2] != "/*":
+                    kept.append("/")
+                    at = run
+            else:
+                line = code.find("\n", end)
+                at = len(code) if line < 0 else line
+        elif sign == "/*":
+            at = code.find("*/", end) + 2
+            at = len(code) if at < end else at
+        elif rust and sign == "'" and re.match(r"[^\W\d](?!')", code[end : end + 2]):
+            at = end
+        else:
+            text, at = _literal(code, sign, end)
+            kept.append(text)
+    return "".join([*kept, code[at:]])
 
 
 _OMITTED = re.compile(r"\.\.\.|…|省略|(?<![\w.])\.\.(?![./])")

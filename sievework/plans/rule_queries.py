@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import patterns as P
 from sievework.functions import pii
+from sievework.functions.code import unbalanced_blocks
 from sievework.functions.text import escape_html, estimated_tokens, right_strip, strip
 from sievework.operators import findings as O
 from sievework.operators import neardup, sampling
@@ -72,6 +73,13 @@ def qa_deep_findings(spark, sf_dir):
     return O.exploded(deep.check(qa_records(spark, sf_dir), "code"), keys=("rid",)).select("rid", "level", "item")
 
 
+def bracket_blocks(spark, sf_dir):
+    """Every document's text as one block of C and of Rust each: whether its brackets don't pair there."""
+    d = table(spark, sf_dir, "documents")
+    one = lambda lang: unbalanced_blocks(F.array(F.struct(F.lit(lang).alias("lang"), F.coalesce("text", F.lit("")).alias("body")))).alias(lang)
+    return d.select("doc_id", one("c"), one("rust"))
+
+
 def commit_records(spark, sf_dir):
     """documents as fix commits: a change of the first of the text's lines; in French ones the fixed code has a line more than the diff."""
     rows = F.transform(F.split("text", r"\. ", -1), lambda x: right_strip(F.regexp_replace(x, r"[\r\n]", " ")))
@@ -178,7 +186,7 @@ def bernoulli_sample(spark, sf_dir):
 
 
 QUERIES = {
-    "blog_findings": blog_findings, "blog_privacy": blog_privacy, "blog_gates": blog_gates, "qa_findings": qa_findings, "qa_duplicates": qa_duplicates, "qa_gates": qa_gates, "qa_deep_findings": qa_deep_findings,
+    "blog_findings": blog_findings, "blog_privacy": blog_privacy, "blog_gates": blog_gates, "qa_findings": qa_findings, "qa_duplicates": qa_duplicates, "qa_gates": qa_gates, "qa_deep_findings": qa_deep_findings, "bracket_blocks": bracket_blocks,
     "commit_proofs": commit_proofs, "commit_findings": commit_findings, "commit_gates": commit_gates, "first_seen_bodies": first_seen_bodies,
     "corpus_histogram": corpus_histogram, "top_values": top_values, "top_first": top_first, "token_estimate": token_estimate, "tail_rules": tail_rules, "article_emails": article_emails, "luhn_numbers": luhn_numbers, "escaped_pages": escaped_pages,
     "url_duplicates": url_duplicates, "label_gate": label_gate, "time_share": time_share, "run_comparison": run_comparison, "fixed_sample": fixed_sample, "bernoulli_sample": bernoulli_sample,
