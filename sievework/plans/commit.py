@@ -13,6 +13,8 @@ from sievework.operators import findings as O
 from sievework.sources.records import absent, missing_of, strings_at, text_at, type_at
 
 RECENT_YEARS = 3
+#: Dimensions of the histograms, and the fields that hold them.
+DIMENSIONS = {"language": "programming_language", "severity": "severity", "owner": "project_owner", "vulnerability": "vulnerability_type", "cwe": "cwe_classification", "license": "license"}
 
 
 def _flag(path: str) -> Column:
@@ -48,9 +50,12 @@ def derived(records: DataFrame, verify: bool = True) -> DataFrame:
 
 
 def check(records: DataFrame, verify: bool = True) -> DataFrame:
-    """records with findings and the columns that statistics count."""
+    """records with findings and the columns that statistics count.
+
+    All rules but the one of repeated diffs come before the lookup of first diffs, so that a query of findings, statistics or
+    histograms moves no texts there: it takes no column that holds one.
+    """
     d = derived(records, verify)
-    d = O.first_seen(d, F.when(F.col("diff") != "", D.normal_sha(F.col("diff"))), F.col("rid"), "file", "pos").withColumnRenamed("seen_before", "diff_of")
     before, after, diff, message, text, cve = (F.col(x) for x in ("before", "after", "diff", "message", "text", "cve"))
     classes = F.transform(strings_at("$.meta.cwe_classification"), lambda c: F.upper(F.trim(c)))
     cwe = F.upper(F.trim(F.coalesce(text_at("$.meta.cwe_id"), F.lit(""))))
@@ -98,19 +103,33 @@ def check(records: DataFrame, verify: bool = True) -> DataFrame:
         O.rule("WARN", "revert_first_line", ~F.coalesce("reverted", F.lit(False)) & first, F.substring_index(message, "\n", 1)),
         O.rule("WARN", "revert_word", message.rlike(P.REVERT_ANY) & ~first),
         O.rule("ERROR", "trivial_diff", has_diff & why.isNotNull(), why),
-        O.rule("ERROR", "diff_duplicate", F.col("diff_of").isNotNull(), F.col("diff_of")),
+    )
+    late = O.collect(
         O.rule("WARN", "thin_context", F.col("proof.min_context") < 10, F.col("proof.min_context")),
         O.rule("WARN", "several_cves", F.size(other) >= 2, F.array_join(F.slice(F.array_sort(other), 1, 4), ",")),
     )
     year = F.coalesce(F.nullif(F.regexp_extract(cve, r"^CVE-(\d{4})-", 1), F.lit("")), F.nullif(F.regexp_extract(F.coalesce(text_at("$.meta.published_date"), F.lit("")), r"^(\d{4})-", 1), F.lit("")))
+    m = lambda k: F.coalesce(text_at(f"$.meta.{k}"), F.lit("?"))
+    d = d.withColumns({
+        "_early": rules, "_late": late, "year": year.cast("int"), "no_license": blank("license"), "verified": verified, "text_has_code": contains_any(text, P.TEXT_CODE_KEYS),
+        "diff_lines": F.when(has_diff, F.size(lines(F.regexp_replace(diff, r"\n\z", "")))).otherwise(0),
+        "all_code": (before != "") & (after != "") & has_diff & (message != ""), "scored": F.coalesce(text_at("$.meta.cvss_score"), F.lit("")) != "", "cve_valid": cve.rlike(P.CVE_FORMAT), "proved": F.col("proof.ok"),
+        "dims": F.struct(*[m(k).alias(a) for a, k in DIMENSIONS.items()]),
+    })
+    d = O.first_seen(d, F.when(has_diff, D.normal_sha(diff)), F.col("rid"), "file", "pos").withColumnRenamed("seen_before", "diff_of")
+    again = O.collect(O.rule("ERROR", "diff_duplicate", F.col("diff_of").isNotNull(), F.col("diff_of")))
     has = lambda item: F.exists("findings", lambda f: f["item"] == item)
-    return d.withColumn("findings", rules).withColumns({
-        "year": year.cast("int"), "no_license": blank("license"), "verified": verified, "text_has_code": contains_any(text, P.TEXT_CODE_KEYS),
+    return d.withColumn("findings", F.concat("_early", again, "_late")).drop("_early", "_late").withColumns({
         "incomplete": has("diff_inconsistent") | has("code_note_missing") | F.exists("findings", lambda f: (f["item"] == "code_short") & (f["level"] == "ERROR")),
-        "revert_like": has("revert_flag") | has("revert_first_line") | has("revert_word") | has("trivial_diff"), "diff_lines": F.when(has_diff, F.size(lines(F.regexp_replace(diff, r"\n\z", "")))).otherwise(0),
+        "revert_like": has("revert_flag") | has("revert_first_line") | has("revert_word") | has("trivial_diff"),
     })
 
 
+def counted(checked: DataFrame) -> DataFrame:
+    """What stats and histograms read of checked records; no column holds a text of theirs."""
+    return checked.select("missing", "findings", "year", "no_license", "verified", "text_has_code", "incomplete", "revert_like", "diff_lines", "all_code", "scored", "cve_valid", "proved", "complete", "dims")
+
+
 def throttled(findings: DataFrame, items: tuple[str, ...] = ("thin_context", "several_cves"), most: int = 30) -> DataFrame:
     """For reports: at most so many rows of the noisy items, the first by record; counts elsewhere stay exact."""
     noisy = findings.filter(F.col("item").isin(*items))
@@ -124,18 +143,17 @@ def stats(checked: DataFrame, this_year: int) -> DataFrame:
     n = lambda c: F.count_if(c).alias
     has = lambda item: F.exists("findings", lambda f: f["item"] == item)
     return checked.agg(
-        F.count("*").alias("total"), n(F.size("missing") > 0)("missing"), n(has("structure"))("structure"), n(F.col("no_license"))("no_license"), n(F.col("cve").rlike(P.CVE_FORMAT))("cve_valid"),
-        n(F.col("verified") & F.col("proof.ok"))("consistent"), n(has("diff_inconsistent"))("inconsistent"), n(F.col("proof.ok").isNotNull() & ~F.col("verified"))("unverified"), n(F.col("text_has_code"))("text_has_code"),
+        F.count("*").alias("total"), n(F.size("missing") > 0)("missing"), n(has("structure"))("structure"), n(F.col("no_license"))("no_license"), n(F.col("cve_valid"))("cve_valid"),
+        n(F.col("verified") & F.col("proved"))("consistent"), n(has("diff_inconsistent"))("inconsistent"), n(F.col("proved").isNotNull() & ~F.col("verified"))("unverified"), n(F.col("text_has_code"))("text_has_code"),
         n(F.col("incomplete"))("incomplete"), n(F.col("revert_like"))("revert_like"), n(has("no_logic_change"))("no_logic"), n(has("diff_duplicate"))("diff_dup"), n(has("thin_context"))("thin_context"), n(has("several_cves"))("several_cves"),
         F.coalesce(F.sum("diff_lines"), F.lit(0)).alias("diff_lines"), n(F.col("year").isNotNull())("years"), n(F.col("year") > this_year - RECENT_YEARS)("recent"), F.min("year").alias("first_year"), F.max("year").alias("last_year"),
-        n((F.col("before") != "") & (F.col("after") != "") & (F.col("diff") != "") & (F.col("message") != ""))("all_code"), n(F.col("complete"))("complete"),
-        n(has("text_label_language"))("label_language"), n(has("code_polluted") | has("new_file_mark"))("polluted"), n(F.coalesce(text_at("$.meta.cvss_score"), F.lit("")) != "")("scored"),
+        n(F.col("all_code"))("all_code"), n(F.col("complete"))("complete"),
+        n(has("text_label_language"))("label_language"), n(has("code_polluted") | has("new_file_mark"))("polluted"), n(F.col("scored"))("scored"),
     )
 
 
 def histograms(checked: DataFrame) -> DataFrame:
-    m = lambda k, d="?": F.coalesce(text_at(f"$.meta.{k}"), F.lit(d))
-    return O.histogram(checked, language=m("programming_language"), severity=m("severity"), owner=m("project_owner"), vulnerability=m("vulnerability_type"), cwe=m("cwe_classification"), license=m("license"), year=F.col("year")).filter("key is not null")
+    return O.histogram(checked, **{k: F.col(f"dims.{k}") for k in DIMENSIONS}, year=F.col("year")).filter("key is not null")
 
 
 def gate_rows(stat: DataFrame, hist: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import patterns as P
+from sievework.operators.neardup import kept
 from sievework.plans import blog, commit
 from sievework.plans.rule_queries import AS_OF, article_records, commit_records
 
@@ -128,7 +129,7 @@ def article_report(spark, sf_dir):
 
 def commit_report(spark, sf_dir):
     """The lines of documents as fix commits."""
-    c = commit.check(commit_records(spark, sf_dir))
+    c = kept(commit.counted(commit.check(commit_records(spark, sf_dir))))
     return report_rows(commit.stats(c, int(AS_OF[:4])), commit.histograms(c), COMMIT)
 
 

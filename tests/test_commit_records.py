@@ -26,3 +26,14 @@ def test_prose_like_a_mail_head_pollutes_no_commit(spark, folder):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
     assert got == sorted(con.execute(dimensions.ORACLE_SQL["commit_report"]).fetchall())
     assert {r.item for r in rule_queries.commit_findings(spark, folder).collect()}.isdisjoint({"code_polluted", "pii_email"})
+
+
+def test_counted_commits_hold_no_text_and_keep_the_order_of_findings(spark, folder):
+    from sievework.plans import commit
+
+    checked = commit.check(rule_queries.commit_records(spark, folder))
+    assert not {"v", "before", "after", "diff", "message", "text", "proof"} & set(commit.counted(checked).columns)
+    found = checked.filter("rid = '3'").first().findings
+    assert [tuple(r)[2] for r in found if r.item == "diff_duplicate"] == ["0"]
+    items = [r.item for r in found]
+    assert items.index("required_meta") < items.index("diff_duplicate") < (items + ["thin_context"]).index("thin_context")
