@@ -11,7 +11,7 @@ A queue needs at least one token a window. Without targets, sources with less sh
 has less still it joins the smallest other queue; so there are at most as many queues as a window has tokens.
 
 Tokens come from a public vocabulary that lower-cases and splits at white space, so the ids of a text are those of its
-words, and a task encodes each distinct word once.
+words, and a worker encodes each distinct word once, as long as it keeps it.
 
 Defined results: NULL counts as the empty text, whose only id is the end id. A NULL source is a source. Repeated rows are
 documents of their own. An empty table stays empty. Other columns are not read. Ids are kept in 16 bits; a vocabulary with a
@@ -21,6 +21,7 @@ larger id is refused.
 from __future__ import annotations
 
 import bisect
+import functools
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import CACHE_WORDS, mapped, small_batches, texts_of, written
+from sievework.llm.common import mapped, release_memory, small_batches, texts_of, written
 
 WINDOW = 2048
 END_ID = 1
 BUCKETS_PER_TASK = 4
+#: Words with their ids that a Python worker keeps before it starts afresh, about 130 bytes each; most of the time goes into words that it doesn't hold.
+KEPT_WORDS = 800_000
 #: Marks that may follow a word without changing how its letters are split.
 _MARKS = '.,!?;:*$%&#|"()[]{}-+=/\\@~^<>_`'
 _ODD_SPACE = {"\x1c", "\x1d", "\x1e", "\x1f"}
@@ -63,15 +66,17 @@ class WordIds(dict):
         self.letters = _byte_letters()
 
     def __reduce__(self):
-        return WordIds, (self.path,)
+        return words_of_worker, (self.path,)
 
     def _load(self) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(self.path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        size = self.tokenizer.get_vocab_size()
+        if size > 1 << 16:
             raise ValueError(f"{self.path}: ids beyond 16 bits")
         self.model = self.tokenizer.model
+        self.id_bytes = [i.to_bytes(2, "little") for i in range(size)]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
@@ -80,7 +85,8 @@ class WordIds(dict):
         """The ids of lower-case letters in composed form, which are one unit to the vocabulary's merges."""
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(2, "little") for t in self.model.tokenize(letters)])
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[t.id] for t in self.model.tokenize(letters)])
 
     def __missing__(self, word: str) -> bytes:
         """Letters by themselves and marks after them by themselves; any other word whole."""
@@ -106,13 +112,19 @@ class WordIds(dict):
         end = END_ID.to_bytes(2, "little")
         out = []
         for t in texts:
-            if len(self) > 2 * CACHE_WORDS:
+            if len(self) > KEPT_WORDS:
                 self.clear()
             ids = self._whole(t) if any(c in t for c in _ODD_SPACE) else b"".join(map(self.__getitem__, t.split()))
             out.append(ids + end)
         return out
 
 
+@functools.cache
+def words_of_worker(path: str) -> WordIds:
+    """The words that a Python worker has met, for all its tasks; the cutting into windows, which needs no words, lets go of them."""
+    return WordIds(path)
+
+
 class Schedule:
     """The closed form of deficit round-robin over queues with given totals and weights (the totals themselves where none are given).
 
@@ -179,11 +191,14 @@ class Schedule:
     def pieces(self, q: int, place: int, length: int) -> Iterator[tuple[int, int, int, int]]:
         """(start in the document, length, window, offset there) of a document at a place of its queue."""
         at, end, w = place, place + length, self.window_of(q, place)
+        first = self.served(w)[q]
         while at < end:
-            upto = min(end, self.served(w + 1)[q])
-            if upto > at:
-                yield at - place, upto - at, w, self.offsets(w)[q] + at - self.served(w)[q]
+            last = self.served(w + 1)[q]
+            if last > at:
+                upto = min(end, last)
+                yield at - place, upto - at, w, self.offsets(w)[q] + at - first
                 at = upto
+            first = last
             w += 1
 
 
@@ -266,6 +281,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, wi
     schedule = Schedule(totals, window, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if words_of_worker.cache_info().currsize:
+            words_of_worker.cache_clear()
+            release_memory()
         at: dict[int, int] = {}
         out: list[tuple] = []
 

@@ -1,3 +1,4 @@
+import pickle
 import random
 import re
 import zlib
@@ -166,6 +167,23 @@ def test_words_encode_as_whole_texts():
     assert got == whole_ids(texts)
 
 
+def test_words_seen_once_stay_known(monkeypatch):
+    """A worker encodes each of 300,000 different words once, in all its tasks, and the cutting into windows lets go of them."""
+    sent = pickle.dumps(packing.WordIds(packing.default_tokenizer()))
+    packing.words_of_worker.cache_clear()
+    words = pickle.loads(sent)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = ["".join(letters[i // 26**k % 26] for k in range(4)) for i in range(300_000)]
+    texts = [" ".join(made[i : i + 1000]) for i in range(0, len(made), 1000)]
+    first = words.documents(texts)
+    merged = []
+    monkeypatch.setattr(packing.WordIds, "_merge", lambda self, low: merged.append(low) or b"")
+    assert words.documents(texts) == first and merged == []
+    assert pickle.loads(sent) is words
+    packing.words_of_worker.cache_clear()
+    assert len(pickle.loads(sent)) == 0
+
+
 def test_schedule_serves_by_deficit():
     rng = random.Random(1)
     for _ in range(200):
