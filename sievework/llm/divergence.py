@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,33 +74,41 @@ def class_counts(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that lie in a window of five found twice or more."""
 
-    def paired(left: Column, right: Column, by: int) -> Column:
-        """Hashes of left and of what right has `by` places further on; right's last places make no pair."""
-        return F.zip_with(F.slice(left, 1, F.size(right) - by), F.slice(right, by + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
+    def window(of: Column, i: Column, *first: Column) -> Column:
+        return F.xxhash64(*first, *[F.get(of, i + k) for k in range(WINDOW)])
 
-    def hashes(seed: int | None) -> Column:
-        """Of every window: of single words, then of two, four and five."""
-        first = [] if seed is None else [F.lit(seed)]
-        one = F.transform(words, lambda w: F.xxhash64(*first, w))
-        return let(one, lambda h: let(paired(h, h, 1), lambda two: paired(paired(two, two, 2), h, WINDOW - 1)))
+    def hashes(one: Column) -> Column:
+        """Of every window, from hashes of its words."""
+        return F.transform(F.slice(one, 1, F.size(one) - (WINDOW - 1)), lambda _, i: window(one, i))
 
     def covered(starts: Column) -> Column:
         steps = F.zip_with(starts, F.slice(starts, 2, F.size(starts)), lambda a, b: F.least(F.lit(WINDOW), b - a))
         return F.aggregate(steps, F.lit(0), lambda x, y: x + y)
 
-    def starts(of: Column) -> Column:
-        same = lambda s, at: F.coalesce((s["h"] == F.get(of, at)["h"]) & (s["g"] == F.get(of, at)["g"]), F.lit(False))
-        twice = F.transform(of, lambda s, j: F.when(same(s, j - 1) | same(s, j + 1), s["i"]))
-        return F.sort_array(F.filter(twice, lambda i: i.isNotNull()))
+    def beside(of: Column, *names: str) -> Callable[[Column, Column], Column]:
+        """Whether one of a sorted array is like the one before or after it."""
 
-    def wide(plain: Column) -> Column:
-        return F.zip_with(F.transform(plain, lambda h, i: F.struct(h.alias("h"), i.alias("i"))), hashes(WINDOW), lambda s, g: F.struct(s["h"].alias("h"), g.alias("g"), s["i"].alias("i")))
+        def same(s: Column, at: Column) -> Column:
+            other = F.get(of, at)
+            return F.coalesce(reduce(and_, [s[x] == other[x] for x in names]), F.lit(False))
+
+        return lambda s, j: same(s, j - 1) | same(s, j + 1)
+
+    def wide(likely: Column) -> Column:
+        return F.sort_array(F.transform(likely, lambda s: F.struct(s["h"].alias("h"), window(words, s["i"], F.lit(WINDOW)).alias("g"), s["i"].alias("i"))))
+
+    def starts(plain: Column) -> Column:
+        """Where windows begin that are found twice: those of equal 64 bits are looked at by 64 more."""
+        placed = F.sort_array(F.transform(plain, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        likely = let(placed, lambda p: F.filter(p, beside(p, "h")))
+        return let(likely, lambda x: let(wide(x), lambda w: F.sort_array(F.transform(F.filter(w, beside(w, "h", "g")), lambda s: s["i"]))))
 
     def counted(plain: Column) -> Column:
         twice = F.size(F.array_distinct(plain)) < F.size(plain)
-        return F.when(twice, let(F.sort_array(wide(plain)), lambda p: let(starts(p), covered))).otherwise(F.lit(0))
+        return F.when(twice, let(starts(plain), covered)).otherwise(F.lit(0))
 
-    return F.when(F.size(words) > WINDOW, let(hashes(None), counted)).otherwise(F.lit(0))
+    one = F.transform(words, lambda w: F.xxhash64(w))
+    return F.when(F.size(words) > WINDOW, let(let(one, hashes), counted)).otherwise(F.lit(0))
 
 
 def repeated_lines(text: Column) -> Column:
@@ -163,18 +173,23 @@ def measured(
     text, ref = F.coalesce(docs["text"], F.lit("")), F.col(lang)
 
     def common_counts(said: Column) -> Column:
-        """Of each common word and of all others. Words longer than any common one become a mark that no word can be; each common word is
-        then taken out in turn, which leaves two spaces between those beside it, and the bytes that went tell how often it stood there."""
+        """Of each common word and of all others. Words longer than any common one become a mark that no word can be, and go first; each
+        common word is then taken out in turn, which leaves two spaces between those beside it. The bytes that went tell how often it stood there."""
         size = F.octet_length
-        others = lambda rest: F.array(F.regexp_count(rest, F.lit("[^ ]+")).cast("long"))
 
         def less(acc: Column, word: Column) -> Column:
             n = lambda rest: F.concat(acc["n"], F.array(((size(acc["rest"]) - size(rest)) / size(word)).cast("long")))
             return let(F.replace(acc["rest"], word, F.lit("")), lambda rest: F.struct(rest.alias("rest"), n(rest).alias("n")))
 
+        mark = F.concat(F.lit("  "), F.lit(PUNCTUATION[0]))
         short = F.regexp_replace(said, F.concat(F.lit("[^ ]{"), ref["longer"], F.lit(",}")), F.lit(PUNCTUATION[0]))
-        begin = F.struct(short.alias("rest"), F.array().cast("array<long>").alias("n"))
-        return F.aggregate(ref["spaced"], begin, less, lambda acc: F.concat(acc["n"], others(acc["rest"])))
+
+        def counted(marked: Column, rest: Column) -> Column:
+            begin = F.struct(rest.alias("rest"), F.array().cast("array<long>").alias("n"))
+            others = lambda left: F.regexp_count(left, F.lit("[^ ]+")) + (size(marked) - size(rest)) / size(mark)
+            return F.aggregate(ref["spaced"], begin, less, lambda acc: F.concat(acc["n"], F.array(others(acc["rest"]).cast("long"))))
+
+        return let(short, lambda marked: let(F.replace(marked, mark, F.lit("")), lambda rest: counted(marked, rest)))
 
     def word_distance(said: Column) -> Column:
         counts, bins = common_counts(said), F.size(ref["words"])
@@ -184,23 +199,28 @@ def measured(
 
     def of_words(words: Column) -> Column:
         return F.struct(
-            F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"), repeated_words(words).cast("long").alias("n_repeat_words"),
+            F.size(words).cast("long").alias("n_words"), repeated_words(words).cast("long").alias("n_repeat_words"), let(F.array_join(words, ""), of_joined).alias("c"),
             F.when(ref.isNotNull(), let(spaced_words(words), word_distance)).alias("word_distance"),
         )
 
-    def of_signs(counts: Column) -> Column:
+    def of_joined(joined: Column) -> Column:
+        """The words without blanks hold long runs of a class, and all characters but blanks."""
+        blanks = (F.length(text) - F.length(joined)).cast("long")
+        return let(F.transform(class_counts(joined), lambda n, i: F.when(i == CLASSES.index(BLANK), blanks).otherwise(n)), lambda counts: of_signs(counts, joined))
+
+    def of_signs(counts: Column, joined: Column) -> Column:
         far = F.when((F.length(text) >= least_chars) & ref.isNotNull(), distance(divergence(shares(counts), shares(ref["classes"]))))
-        return F.struct(F.get(counts, F.lit(CLASSES.index(SYMBOLS))).alias("n_symbols"), far.alias("class_distance"))
+        return F.struct(F.length(joined).cast("long").alias("word_chars"), F.get(counts, F.lit(CLASSES.index(SYMBOLS))).alias("n_symbols"), far.alias("class_distance"))
 
     whole = let(
-        F.struct(let(words_of(text), of_words).alias("w"), let(class_counts(text), of_signs).alias("c"), repeated_lines(text).cast("long").alias("n_dup_lines")),
+        F.struct(let(words_of(text), of_words).alias("w"), repeated_lines(text).cast("long").alias("n_dup_lines")),
         lambda s: let(
             (s["w"]["n_words"] < 10) | (100 * s["w"]["n_repeat_words"] > 20 * s["w"]["n_words"]),
             lambda failed: F.struct(
-                s["w"]["n_words"].alias("n_words"), s["w"]["word_chars"].alias("word_chars"), s["c"]["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
+                s["w"]["n_words"].alias("n_words"), s["w"]["c"]["word_chars"].alias("word_chars"), s["w"]["c"]["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
                 s["w"]["n_repeat_words"].alias("n_repeat_words"), failed.alias("base_failed"),
-                (~failed & (F.coalesce(s["c"]["class_distance"], F.lit(0.0)) <= class_limit) & (F.coalesce(s["w"]["word_distance"], F.lit(0.0)) <= word_limit)).alias("kept"),
-                s["c"]["class_distance"].alias("class_distance"), s["w"]["word_distance"].alias("word_distance"),
+                (~failed & (F.coalesce(s["w"]["c"]["class_distance"], F.lit(0.0)) <= class_limit) & (F.coalesce(s["w"]["word_distance"], F.lit(0.0)) <= word_limit)).alias("kept"),
+                s["w"]["c"]["class_distance"].alias("class_distance"), s["w"]["word_distance"].alias("word_distance"),
             ),
         ),
     )

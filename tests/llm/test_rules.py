@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.llm import divergence, ranked, repair
 from sievework.llm.queries import ORACLE_SQL, QUERIES
@@ -45,6 +46,12 @@ def test_base_rules_of_odd_texts(spark):
     assert got == sorted(want)
 
 
+def test_windows_are_hashed_in_one_pass(spark):
+    """Windows come from the hashes of their words at once, and the second 64 bits only for those found twice: no arrays are zipped but for their steps."""
+    plan = spark.createDataFrame([], "words array<string>").select(divergence.repeated_words(F.col("words")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("zip_with") == 1
+
+
 def jensen_shannon(p, q):
     p, q = ([x / sum(v) for x in v] for v in (p, q))
     part = lambda a, b: a * math.log2(2 * a / (a + b)) if a else 0.0
