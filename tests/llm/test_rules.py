@@ -48,8 +48,8 @@ def test_base_rules_of_odd_texts(spark):
 
 def test_windows_are_hashed_in_one_pass(spark):
     """Windows come from the hashes of their words at once, and the second 64 bits only for those found twice: no arrays are zipped but for their steps."""
-    plan = spark.createDataFrame([], "words array<string>").select(divergence.repeated_words(F.col("words")))._jdf.queryExecution().analyzed().toString()
-    assert plan.count("zip_with") == 1
+    plan = spark.createDataFrame([], "words array<string>").select(divergence.repeated_words(F.col("words")).alias("n"))._jdf.queryExecution().analyzed().toString()
+    assert len(re.findall("zip_?with[(]", plan)) == 1
 
 
 def jensen_shannon(p, q):
