@@ -101,11 +101,11 @@ def id_text_crc(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
-def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """fn over small Arrow batches of df; None results are dropped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, rows):
             if (out := fn(batch)) is not None:
                 yield out
         release_memory()

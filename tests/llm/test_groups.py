@@ -184,6 +184,56 @@ def test_words_seen_once_stay_known(monkeypatch):
     assert len(pickle.loads(sent)) == 0
 
 
+def test_forms_of_a_word_are_encoded_once():
+    """Capitals and marks make no words of their own, marks alone are few, and runs as long as texts aren't kept."""
+    words = packing.WordIds(packing.default_tokenizer())
+    texts = ["Alpha alpha alpha, ALPHA! alpha?", "beta Beta, beta?", "x" * 3000, "", " ", "a\u00a0b\u2028c " * 30]
+    assert [np.frombuffer(x, "<u2").tolist() for x in words.documents(texts)] == whole_ids(texts)
+    assert sorted(k for k in words if k.isalpha()) == ["alpha", "beta"] and {",", "!", "?"} <= set(words.others)
+    assert words.documents([]) == [] and words.documents([""]) == [b"\x01\x00"]
+
+
+def test_texts_beyond_a_batch_are_halved(monkeypatch):
+    texts = ["Alpha, beta %d" % i * (i % 7) for i in range(50)]
+    words = packing.WordIds(packing.default_tokenizer())
+    at_once = words.documents(texts)
+    monkeypatch.setattr(packing, "CHARS", 40)
+    monkeypatch.setattr(packing, "ROWS", 3)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 2)
+    assert words.documents(texts) == at_once and len(words) + len(words.others) < 10
+
+
+def test_pieces_come_from_blocks_of_windows(monkeypatch):
+    """Against the state of each window by itself; totals beyond 64-bit products too."""
+    rng = random.Random(7)
+    for huge in (False, True) * 30:
+        window = 2048 if huge else rng.choice([8, 64])
+        totals = [rng.randint(10**12, 10**13) if huge else rng.randint(300, 4000) for _ in range(rng.randint(1, 6))]
+        weights = None if huge or rng.random() < 0.5 else [rng.randint(1, 3) for _ in totals]
+        if weights is None and min(totals) * window < sum(totals):
+            continue
+        s = packing.Schedule(totals, window, weights)
+        w = rng.randint(0, -(-s.all // window))
+        assert s.table(w, 4).tolist() == [s.served(w + i) for i in range(4)]
+        q = rng.randrange(len(totals))
+        place = rng.randint(0, totals[q] - 200)
+        sizes = [rng.randint(1, 60) for _ in range(3)]
+        expected, w = [], s.window_of(q, place)
+        for i, n in enumerate(sizes):
+            at, end = place + sum(sizes[:i]), place + sum(sizes[: i + 1])
+            first = at
+            while at < end:
+                a, b = s.served(w), s.served(w + 1)
+                if (upto := min(end, b[q])) > at:
+                    expected.append((i, at - first, upto - at, w, sum(b[:q]) - sum(a[:q]) + at - a[q]))
+                    at = upto
+                w += at == b[q]
+        with monkeypatch.context() as m:
+            if weights is None:
+                m.setattr(s, "level", None)  # no window by itself
+            assert list(zip(*(c.tolist() for c in s.pieces(q, place, np.array(sizes))))) == expected
+
+
 def test_schedule_serves_by_deficit():
     rng = random.Random(1)
     for _ in range(200):
