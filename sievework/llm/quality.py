@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,58 +43,147 @@ def word_row(word: str) -> np.ndarray:
         min(n - letters - digits, 8) / 4, word[-1] in ".!?", letters > 0 and word[0].isupper(), letters / n,
     )
     shape = _RUNS.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
-    h = 2166136261
-    for c in shape:
-        h = (h ^ ord(c)) * 16777619 & 0xFFFFFFFF
-    row[_TRAITS + h % SHAPES] = 1
+    row[_TRAITS + shape_hash(map(ord, shape)) % SHAPES] = 1
     return row
 
 
+def shape_hash(codes: Iterable[int]) -> int:
+    h = 2166136261
+    for c in codes:
+        h = (h ^ c) * 16777619 & 0xFFFFFFFF
+    return h
+
+
+_KNOWN, _ALPHA, _UPPER, _DIGIT = 1, 2, 4, 8
+#: These bits of each code point; 0 until it is first met.
+_KINDS = np.zeros(0x110000, np.uint8)
+#: Longest shape, without its repeats, that is hashed side by side with those of other words.
+_LONG_SHAPE = 32
+
+
+def _kinds(codes: np.ndarray) -> np.ndarray:
+    """The bits of every code point given."""
+    kinds = _KINDS[codes]
+    if len(new := np.unique(codes[kinds == 0])):
+        _KINDS[new] = [_KNOWN | _ALPHA * c.isalpha() | _UPPER * c.isupper() | _DIGIT * c.isdigit() for c in map(chr, new)]
+        kinds = _KINDS[codes]
+    return kinds
+
+
+def word_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The encodings of many words at once, as word_row has them: their traits, and which of SHAPES columns their shape has."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds, at = _kinds(codes), np.cumsum(sizes) - sizes
+    letters, upper, digits = (np.add.reduceat((kinds & bit) > 0, at, dtype=np.int64) for bit in (_ALPHA, _UPPER, _DIGIT))
+    traits = np.empty((len(words), _TRAITS), np.float32)
+    for i, column in enumerate((
+        np.minimum(sizes, 40) / 10, sizes > 20, (upper > 1) & (upper == letters), letters == 0, digits > 0,
+        np.minimum(sizes - letters - digits, 8) / 4, np.isin(codes[at + sizes - 1], [46, 33, 63]), (letters > 0) & ((kinds[at] & _UPPER) > 0), letters / sizes,
+    )):
+        traits[:, i] = column
+    shape = np.where(kinds & _UPPER, 65, np.where(kinds & _ALPHA, 97, np.where(kinds & _DIGIT, 48, codes)))
+    fresh = np.ones(len(codes), bool)
+    fresh[1:] = shape[1:] != shape[:-1]
+    fresh[at] = True
+    left = np.add.reduceat(fresh, at, dtype=np.int64)
+    shape, at = shape[fresh], np.cumsum(left) - left
+    hashes = np.full(len(words), 2166136261, np.uint32)
+    todo = np.flatnonzero(left <= _LONG_SHAPE)
+    for i in range(_LONG_SHAPE):
+        todo = todo[left[todo] > i]
+        hashes[todo] = (hashes[todo] ^ shape[at[todo] + i]) * np.uint32(16777619)
+    for k in np.flatnonzero(left > _LONG_SHAPE):
+        hashes[k] = shape_hash(shape[at[k] : at[k] + left[k]].tolist())
+    return traits, (hashes % SHAPES).astype(np.int64)
+
+
 class _Words(dict):
-    """Row numbers of words in a growing table of encodings."""
+    """Row numbers of words in a growing table of encodings; those of new words are made together by fill."""
 
     def __init__(self):
         super().__init__()
-        self.table, self.used = np.zeros((1024, _TRAITS + SHAPES), np.float32), 0
+        self.fresh: list[str] = []
+        self.traits, self.shapes = np.zeros((0, _TRAITS), np.float32), np.zeros(0, np.int64)
 
     def __missing__(self, word: str) -> int:
-        if self.used == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used] = word_row(word)
-        self[word] = self.used
-        self.used += 1
-        return self.used - 1
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+    def fill(self) -> None:
+        if self.fresh:
+            traits, shapes = word_rows(self.fresh)
+            self.traits, self.shapes, self.fresh = np.concatenate([self.traits, traits]), np.concatenate([self.shapes, shapes]), []
+
+    def forget(self) -> None:
+        self.clear()
+        self.__init__()
 
 
 DIMS = _TRAITS + SHAPES + 4
-#: Words of the cache, whose rows are wider than those of other caches.
+#: Words of the cache, which texts encoded together may exceed once.
 _CACHE = CACHE_WORDS // 2
+#: Code points of texts that are encoded together; a longer text is encoded alone.
+TOGETHER = 500_000
 
 
 def encode(cache: _Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The passages of all texts, one row each, and how many each text has."""
-    rows, counts = [], np.zeros(len(texts), np.int64)
+    rows, counts, start, chars = [], [], 0, 0
     for i, text in enumerate(texts):
-        words = text.split()
-        if not words:
-            continue
-        if len(cache) > _CACHE:
-            cache.clear()
-            cache.used = 0
-        ids = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-        at = np.arange(0, len(ids), PASSAGE)
-        counts[i] = len(at)
-        sizes = np.diff(np.append(at, len(ids)))
-        means = np.add.reduceat(cache.table[ids], at, axis=0) / sizes[:, None]
-        block = np.repeat(np.arange(len(at)), sizes)
-        order = np.lexsort((ids, block))
-        fresh = np.ones(len(ids), bool)
-        fresh[1:] = (ids[order][1:] != ids[order][:-1]) | (block[order][1:] != block[order][:-1])
-        distinct = np.add.reduceat(fresh, at, dtype=np.int64) / sizes
-        same = np.append(ids[1:] == ids[:-1], False)
-        whole = len(np.unique(ids)) / len(ids) ** 0.9
-        rows.append(np.column_stack([means, distinct, np.add.reduceat(same, at, dtype=np.int64) / sizes, np.log1p(sizes) / 4, np.full(len(at), whole)]).astype(np.float32))
-    return (np.concatenate(rows) if rows else np.zeros((0, DIMS), np.float32)), counts
+        if i > start and chars + len(text) > TOGETHER:
+            x, n = _encoded(cache, texts[start:i])
+            rows, counts, start, chars = [*rows, x], [*counts, n], i, 0
+        chars += len(text)
+    x, n = _encoded(cache, texts[start:])
+    return np.concatenate([*rows, x]), np.concatenate([*counts, n])
+
+
+def _passages(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of passages of each text of so many words, and the number of words of each passage."""
+    counts = -(-sizes // PASSAGE)
+    lengths = np.full(counts.sum(), PASSAGE)
+    full = counts > 0
+    lengths[np.cumsum(counts)[full] - 1] = (sizes - (counts - 1) * PASSAGE)[full]
+    return counts, lengths
+
+
+def _distinct(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many different ids there are in each run of ids; at has the places where runs begin."""
+    keys = np.sort(np.repeat(np.arange(len(sizes)) * (ids.max() + 1), sizes) + ids)
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    return np.add.reduceat(fresh, at, dtype=np.int64)
+
+
+def _encoded(cache: _Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As encode, all texts at once."""
+    if len(cache) > _CACHE:
+        cache.forget()
+    parts = [text.split() for text in texts]
+    words = np.fromiter(map(len, parts), np.int64, len(parts))
+    counts, sizes = _passages(words)
+    if not len(sizes):
+        return np.zeros((0, DIMS), np.float32), counts
+    ids = np.fromiter(map(cache.__getitem__, chain.from_iterable(parts)), np.int64, words.sum())
+    cache.fill()
+    at, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(texts)), counts)
+    x = np.empty((len(sizes), DIMS), np.float32)
+    x[:, :_TRAITS] = np.add.reduceat(cache.traits[ids], at, axis=0) / sizes[:, None]
+    shapes = np.bincount(np.repeat(np.arange(len(sizes)) * SHAPES, sizes) + cache.shapes[ids], minlength=len(sizes) * SHAPES)
+    x[:, _TRAITS : _TRAITS + SHAPES] = shapes.reshape(-1, SHAPES) / sizes[:, None]
+    full = words[words > 0]
+    ends = np.cumsum(full)
+    same = np.append(ids[1:] == ids[:-1], False)
+    same[ends - 1] = False
+    whole = np.zeros(len(texts))
+    whole[words > 0] = _distinct(ids, full, ends - full) / full**0.9
+    x[:, -4] = _distinct(ids, sizes, at) / sizes
+    x[:, -3] = np.add.reduceat(same, at, dtype=np.int64) / sizes
+    x[:, -2] = np.log1p(sizes) / 4
+    x[:, -1] = whole[owner]
+    return x, counts
 
 
 class Mil:
@@ -142,9 +232,9 @@ class Mil:
 def train(rows: Iterable[dict], epochs: int = 14, seed: int = 5) -> Mil:
     """The model from rows with text and y."""
     cache, parts, y = _Words(), [encode(_Words(), [])], []
-    for r in rows:
-        parts.append(encode(cache, [r["text"]]))
-        y.append(float(r["y"] == 1))
+    for some in batched(rows, 64):
+        parts.append(encode(cache, [r["text"] for r in some]))
+        y += [float(r["y"] == 1) for r in some]
     x, counts, y = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.array(y)
     if not len(x) or y.min() == y.max():
         return Mil(np.zeros(DIMS), np.ones(DIMS), None)

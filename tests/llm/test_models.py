@@ -229,6 +229,28 @@ def test_attention_equals_a_plain_pass():
         at += n
 
 
+def test_many_words_are_encoded_at_once_as_each_alone(monkeypatch):
+    """Words of all kinds of code points and lengths; texts together and one by one; no call for each word."""
+    rng = random.Random(11)
+    kinds = ["a", "Z", "9", "!", ".", "é", "É", "ß", "ǅ", "Ⓐ", "ª", "²", "٣", "中", "𝔄", "𐐨", "\u0301", "\u200b", "\x00", "😀"]
+    pool = [rng.choice(kinds) * rng.randint(1, 3) + "".join(rng.choices(kinds, k=rng.choice([0, 1, 5, 19, 80]))) for _ in range(2000)] + ["x" * 5000, "a1" * 900, "?"]
+    traits, shapes = quality.word_rows(pool)
+    want = np.array([quality.word_row(w) for w in pool])
+    np.testing.assert_array_equal(traits, want[:, : -quality.SHAPES])
+    np.testing.assert_array_equal(shapes, want[:, -quality.SHAPES :].argmax(1))
+
+    texts = ["", " \n"] + [rng.choice([" ", "\n ", "\u2003"]).join(rng.choices(pool[: rng.choice([3, 2003])], k=rng.choice([1, 2, 47, 48, 49, 200]))) for _ in range(40)] + [""]
+    alone = [quality.encode(quality._Words(), [t]) for t in texts]
+    monkeypatch.setattr(quality, "word_row", None)
+    for together, cache in ((1, 0), (3000, 100), (10**9, 10**9)):
+        monkeypatch.setattr(quality, "TOGETHER", together)
+        monkeypatch.setattr(quality, "_CACHE", cache)
+        x, counts = quality.encode(quality._Words(), texts)
+        np.testing.assert_array_equal(x, np.concatenate([a for a, _ in alone]))
+        np.testing.assert_array_equal(counts, np.concatenate([n for _, n in alone]))
+    assert [len(a) for a in quality.encode(quality._Words(), [])] == [0, 0]
+
+
 def test_a_long_row_costs_no_other_row_its_place(spark):
     """Rows beyond the bounds are passed over one by one; the rest is learned from, in the order of the hash."""
     from sievework.llm import common
